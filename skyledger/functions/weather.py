@@ -52,7 +52,7 @@ def date_parts(day: Column) -> dict[str, Column]:
 
 def observation_id(place: Column, day: Column) -> Column:
     """``place_yyyy-MM-dd``; a missing place reads ``NA``."""
-    return F.concat_ws("_", F.coalesce(place, F.lit("NA")), F.date_format(day, "yyyy-MM-dd"))
+    return F.concat_ws("_", F.coalesce(place, F.lit("NA")), day.cast("string"))
 
 
 def split_id(identifier: Column) -> tuple[Column, Column]:

@@ -61,13 +61,20 @@ def parse_revision_json(payloads: DataFrame, payload: str = "payload") -> DataFr
     )
 
 
+class _Enough(Exception):
+    """Nothing further on a page is wanted."""
+
+
 class _Cells(HTMLParser):
     """Text of the elements a subclass asks for; entities are resolved by the base class."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.feed(html)
-        self.close()
+        try:
+            self.feed(html)
+            self.close()
+        except _Enough:
+            pass
 
 
 class _TableRows(_Cells):
@@ -75,7 +82,7 @@ class _TableRows(_Cells):
 
     def __init__(self, html: str):
         self.rows: list[list[str]] = []
-        self.depth, self.done, self.cell = 0, False, None
+        self.depth, self.cell = 0, None
         super().__init__(html)
         self._close_cell()
 
@@ -85,7 +92,7 @@ class _TableRows(_Cells):
         self.cell = None
 
     def handle_starttag(self, tag, attrs):
-        if tag == "table" and not self.done:
+        if tag == "table":
             classes = (dict(attrs).get("class") or "").split()
             if self.depth or "wikitable" in classes:
                 self.depth += 1
@@ -97,11 +104,12 @@ class _TableRows(_Cells):
             self.cell = []
 
     def handle_endtag(self, tag):
+        if self.depth == 1 and tag in ("td", "th", "tr", "table"):
+            self._close_cell()
         if tag == "table" and self.depth:
             self.depth -= 1
-            self.done = self.depth == 0
-        if self.depth <= 1 and tag in ("td", "th", "tr", "table"):
-            self._close_cell()
+            if self.depth == 0:
+                raise _Enough
 
     def handle_data(self, data):
         if self.cell is not None:

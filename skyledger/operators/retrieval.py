@@ -14,11 +14,12 @@ ROWS_PER_ANSWER = 5
 
 
 def places_in_text(questions: DataFrame, places: DataFrame, name: str = "asked_place",
-                   key: str = "question_id", text: str = "question") -> DataFrame:
+                   text: str = "question") -> DataFrame:
     """Adds the alphabetically first known place whose name occurs in the text, in any case.
 
-    Each text is cut into its pieces of the lengths place names have, and pieces meet names in an
-    equality join. The work grows with the text, not with texts times places.
+    Each distinct text is cut into its pieces of the lengths place names have, and pieces meet
+    names in an equality join. The work grows with the text, not with texts times places, and a
+    text that is asked over and over is cut once.
     """
     names = (
         places.select(F.col("governorate").alias(name), F.lower("governorate").alias("_piece"))
@@ -26,16 +27,17 @@ def places_in_text(questions: DataFrame, places: DataFrame, name: str = "asked_p
     )
     lengths = names.agg(F.collect_set(F.length("_piece"))).scalar()
     sized = (
-        questions.select(key, F.lower(text).alias("_text"), lengths.alias("_lengths"))
-        .select(key, "_text", F.explode("_lengths").alias("_n"))
+        questions.select(text).distinct()
+        .select(text, F.lower(text).alias("_text"), lengths.alias("_lengths"))
+        .select(text, "_text", F.explode("_lengths").alias("_n"))
         .where(F.length("_text") >= F.col("_n"))
     )
     starts = F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1))
-    pieces = sized.select(key, "_text", "_n", starts.alias("_at")).select(
-        key, F.substring("_text", F.col("_at"), F.col("_n")).alias("_piece")
+    pieces = sized.select(text, "_text", "_n", starts.alias("_at")).select(
+        text, F.substring("_text", F.col("_at"), F.col("_n")).alias("_piece")
     )
-    found = pieces.join(names, "_piece").groupBy(key).agg(F.min(name).alias(name))
-    return questions.join(found, key, "left")
+    found = pieces.join(names, "_piece").groupBy(text).agg(F.min(name).alias(name))
+    return questions.join(found, text, "left")
 
 
 def understand(questions: DataFrame, places: DataFrame, today: Column) -> DataFrame:

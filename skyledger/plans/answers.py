@@ -15,8 +15,12 @@ def serving_table(spark, sf):
     return staged(b.serving(spark, sf), "serving")
 
 
+def question_table(spark, sf):
+    return staged(b.questions(spark, sf), "questions")
+
+
 def fn_extract_place(spark, sf):
-    return retrieval.places_in_text(b.questions(spark, sf), serving_table(spark, sf).select("governorate")).select(
+    return retrieval.places_in_text(question_table(spark, sf), serving_table(spark, sf).select("governorate")).select(
         "question_id", "asked_place")
 
 
@@ -25,7 +29,7 @@ def fn_format_context(spark, sf):
 
 
 def retrieve_context(spark, sf):
-    return retrieval.retrieve_context(b.questions(spark, sf), serving_table(spark, sf), b.today())
+    return retrieval.retrieve_context(question_table(spark, sf), serving_table(spark, sf), b.today())
 
 
 def fn_format_suggestions(spark, sf):

@@ -30,20 +30,33 @@ def plain(df: DataFrame) -> DataFrame:
     ])
 
 
-def supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", "n_name"
+def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the nation of their supplier.
+
+    Joined one dimension after the other, largest table first, so that each join has a plain table
+    on its small side whose size the optimizer knows.
+    """
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    )
+
+
+def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the nation of their customer."""
+    return (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
 
 
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive-like observations: one row per (nation, ship day)."""
-    lines = table(spark, sf_dir, "lineitem")
     count = F.count(F.lit(1))
     return (
-        lines.join(supplier_nations(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+        shipped(spark, sf_dir)
         .groupBy(F.col("n_name").alias("governorate"),
                  F.col("l_shipdate").cast("date").alias("weather_date"))
         .agg(
@@ -58,12 +71,8 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar-like observations: one row per (nation, order day)."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    homes = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
-        table(spark, sf_dir, "orders")
-        .join(homes.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
+        ordered(spark, sf_dir)
         .groupBy(F.col("n_name").alias("governorate"),
                  F.col("o_orderdate").cast("date").alias("weather_date"))
         .agg(
@@ -86,8 +95,9 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     or implausible.
     """
     stations = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    tax, discount = F.col("l_tax").cast("decimal(6,2)"), F.col("l_discount").cast("decimal(6,2)")
-    quantity, line = F.col("l_quantity").cast("decimal(6,2)"), F.col("l_linenumber")
+    # whole percents, so that sums and products below are exact in doubles
+    tax, discount = F.rint(F.col("l_tax") * 100), F.rint(F.col("l_discount") * 100)
+    quantity, line = F.col("l_quantity"), F.col("l_linenumber")
     place, day = F.col("s_name"), F.col("l_shipdate").cast("date")
     return (
         table(spark, sf_dir, "lineitem")
@@ -99,11 +109,11 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
             line.alias("weather_code"),
             F.when(F.col("l_returnflag") != "R", F.concat("l_returnflag", "l_linestatus")).alias("condition"),
             F.when(F.col("l_linestatus") == "F", F.lit("archive")).otherwise(F.lit("calendar")).alias("source"),
-            (quantity + tax * 200).cast("double").alias("avg_max_temp"),
-            (quantity - discount * 200).cast("double").alias("avg_min_temp"),
-            F.when(line != 7, discount * 1000).cast("double").alias("avg_humidity"),
-            F.when(~line.isin(2, 4), tax * 100).cast("double").alias("std_max_temp"),
-            F.when(line != 3, discount * 100).cast("double").alias("std_min_temp"),
+            (quantity + tax * 2).alias("avg_max_temp"),
+            (quantity - discount * 2).alias("avg_min_temp"),
+            F.when(line != 7, discount * 10).alias("avg_humidity"),
+            F.when(~line.isin(2, 4), tax).alias("std_max_temp"),
+            F.when(line != 3, discount).alias("std_min_temp"),
         )
     )
 
@@ -125,9 +135,6 @@ def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question per order: with a date and a place, one of them, a relative day, or neither."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    homes = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     shift = F.when(F.col("o_orderstatus") == "P", F.lit(1200)).otherwise(F.lit(0))
     day = F.date_add(F.col("o_orderdate").cast("date"), shift)
     place, kind, status = F.col("n_name"), F.col("o_orderpriority"), F.col("o_orderstatus")
@@ -143,11 +150,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "P", F.concat(F.lit("Is it hot on 31/2/1999 in "), place, F.lit("?")))
         .otherwise(F.lit("What should I wear?"))
     )
-    return (
-        table(spark, sf_dir, "orders")
-        .join(homes.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(F.col("o_orderkey").alias("question_id"), text.alias("question"))
-    )
+    return ordered(spark, sf_dir).select(F.col("o_orderkey").alias("question_id"), text.alias("question"))
 
 
 def today():

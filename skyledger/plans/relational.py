@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import weather
 from skyledger.functions.calendar import months_to_collect
+from skyledger.functions.text import date_in_text
 from skyledger.operators import asof, cleaning, columns, extract, merge, normals, ranking, retrieval, star
 from skyledger.operators.features import mark_split, sort_chronological
 from skyledger.plans import bindings as b
@@ -129,8 +130,9 @@ def point_lookup(spark, sf):
 
 def filter_optional(spark, sf):
     table = staged(b.serving(spark, sf), "serving")
-    asked = retrieval.understand(b.questions(spark, sf), table.select("governorate"), b.today())
-    return retrieval.matching_rows(asked, table)
+    questions = staged(b.questions(spark, sf), "questions")
+    asked = retrieval.understand(questions, table.select("governorate"), b.today())
+    return retrieval.matching_rows(staged(asked, "asked"), table)
 
 
 # ---- joins -------------------------------------------------------------------------------------
@@ -189,10 +191,10 @@ def join_region_map(spark, sf):
 
 
 def join_nearest_date(spark, sf):
-    table = staged(b.serving(spark, sf), "serving")
-    asked = retrieval.understand(b.questions(spark, sf), table.select("governorate"), b.today())
-    return asof.with_nearest_date(asked.where(F.col("asked_date").isNotNull()), table).select(
-        "question_id", "asked_date", "nearest_date")
+    asked = b.questions(spark, sf).select(
+        "question_id", date_in_text(F.col("question"), b.today()).alias("asked_date"))
+    asked = staged(asked.where(F.col("asked_date").isNotNull()), "asked")
+    return asof.with_nearest_date(asked, b.serving(spark, sf))
 
 
 # ---- aggregates --------------------------------------------------------------------------------

@@ -22,8 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no earlier run has used, below a folder of this run."""
+    run = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/{run}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
