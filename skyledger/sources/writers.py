@@ -19,7 +19,10 @@ def overwrite_csv(df: DataFrame, path: str) -> None:
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
-    """Quotes only where needed, doubled inner quotes, CRLF line ends, no byte-order mark."""
+    """Quotes only where needed, doubled inner quotes, CRLF line ends, no byte-order mark.
+
+    A line break inside a quoted field becomes CRLF too; reading it back gives one break again.
+    """
     (
         df.write.mode("overwrite").option("header", True).option("lineSep", "\r\n")
         .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
