@@ -81,11 +81,13 @@ def mark_split(df: DataFrame, holdout: float = 0.2, ties: tuple[str, ...] = ("go
     cut = days.where(F.col("_upto") > F.col("_train"))
     boundary = cut.agg(F.min("date")).scalar()
     remaining = cut.agg(F.min_by(F.col("_train") - (F.col("_upto") - F.col("_n")), "date")).scalar()
-    earlier = df.where((F.col("date") < boundary)).withColumn("is_train", F.lit(True))
-    later = df.where((F.col("date") > boundary)).withColumn("is_train", F.lit(False))
+    # without a boundary (nothing held out) every row trains
+    other_days = df.where(~F.col("date").eqNullSafe(boundary)).withColumn(
+        "is_train", F.coalesce(F.col("date") < boundary, F.lit(True))
+    )
     on_day = dense_ids(df.where(F.col("date") == boundary), list(ties), "_nth")
     split = on_day.withColumn("is_train", F.col("_nth") <= remaining).drop("_nth")
-    return earlier.unionByName(split).unionByName(later)
+    return other_days.unionByName(split)
 
 
 def split_chronological(df: DataFrame, holdout: float = 0.2,

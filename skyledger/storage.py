@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (single-machine tests) a fresh local folder takes its place, and the
-    session remembers it so that one session uses one folder.
+    Where that is unset, a checkpoint folder given to the running context counts. Only a local
+    master may do without both: it gets a fresh folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="skyledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="skyledger-"))
+        folder = sc.getCheckpointDir()
     return folder
 
 

@@ -25,6 +25,13 @@ def test_chronological_split(spark, per_day):
     assert sorted((r["date"], r["governorate"]) for r in test.collect()) == [(d, g) for g, d in ordered[cut:]]
 
 
+def test_split_without_holdout(spark):
+    df, ordered = rows_of(spark, [3, 2])
+    train, test = features.split_chronological(df, holdout=0.0)
+    assert train.count() == 5 and test.count() == 0
+    assert features.split_chronological(df.where("date is null"))[0].count() == 0
+
+
 def test_prepare_from_identifier_and_dirty_text(spark):
     df = spark.createDataFrame(
         [("Cairo_2024-02-29", "9.10", "30.0", None), ("Luxor_2024-01-01", "7.65", "31.5", "Fog"),
