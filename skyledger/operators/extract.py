@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -61,91 +62,81 @@ def parse_revision_json(payloads: DataFrame, payload: str = "payload") -> DataFr
     )
 
 
-class _Enough(Exception):
-    """Nothing further on a page is wanted."""
-
-
-class _Cells(HTMLParser):
-    """Text of the elements a subclass asks for; entities are resolved by the base class."""
-
-    def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        try:
-            self.feed(html)
-            self.close()
-        except _Enough:
-            pass
-
-
-class _TableRows(_Cells):
-    """Rows of the first table of a class, each a list of stripped cell texts."""
-
-    def __init__(self, html: str):
-        self.rows: list[list[str]] = []
-        self.depth, self.cell = 0, None
-        super().__init__(html)
-        self._close_cell()
-
-    def _close_cell(self):
-        if self.cell is not None and self.rows:
-            self.rows[-1].append("".join(self.cell).strip())
-        self.cell = None
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            classes = (dict(attrs).get("class") or "").split()
-            if self.depth or "wikitable" in classes:
-                self.depth += 1
-        elif self.depth == 1 and tag == "tr":
-            self._close_cell()
-            self.rows.append([])
-        elif self.depth == 1 and tag in ("td", "th"):
-            self._close_cell()
-            self.cell = []
-
-    def handle_endtag(self, tag):
-        if self.depth == 1 and tag in ("td", "th", "tr", "table"):
-            self._close_cell()
-        if tag == "table" and self.depth:
-            self.depth -= 1
-            if self.depth == 0:
-                raise _Enough
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
-
-
-class _CalendarDays(_Cells):
-    """Calendar cells: free text, condition, high and low of each ``li.calendar-day``."""
-
-    PARTS = {("div", "phrase"): "phrase", ("span", "hi"): "hi", ("span", "low"): "low"}
-
-    def __init__(self, html: str):
-        self.cells: list[dict[str, str]] = []
-        self.open: list[tuple[str, str | None]] = []
-        super().__init__(html)
-
-    def handle_starttag(self, tag, attrs):
-        classes = dict(attrs).get("class") or ""
-        if tag == "li" and "calendar-day" in classes:
-            self.cells.append({"free": ""})
-            self.open = [(tag, "free")]
-        elif self.open:
-            part = next((self.PARTS[tag, c] for c in classes.split() if (tag, c) in self.PARTS), None)
-            if part and part not in self.cells[-1]:
-                self.cells[-1][part] = ""
-            self.open.append((tag, part))
-
-    def handle_endtag(self, tag):
-        if any(t == tag for t, _ in self.open):
-            while self.open.pop()[0] != tag:
-                pass
-
-    def handle_data(self, data):
-        if self.open:
-            part = next(p for _, p in reversed(self.open) if p)
-            self.cells[-1][part] += data
+# A comment, a script or style element as a whole, or one tag with its end mark, name and attributes.
+_TAG = re.compile(
+    r"""<!--.*?-->|<(script|style)\b.*?</\1\s*>|"""
+    r"""<(/?)([a-z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>""",
+    re.IGNORECASE | re.DOTALL,
+)
+_CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+
+
+def _tags(html: str) -> Iterator[tuple[str, bool, str, list[str]]]:
+    """The tags of a page, each as (text before it, whether it ends an element, name, classes)."""
+    at = 0
+    for tag in _TAG.finditer(html):
+        _, end, name, attributes = tag.groups("")
+        found = _CLASS.search(attributes) if attributes else None
+        classes = found[found.lastindex].split() if found and found.lastindex else []
+        yield html[at:tag.start()], end == "/", name.lower(), classes
+        at = tag.end()
+    yield html[at:], False, "", []
+
+
+def _table_rows(html: str) -> list[list[str]]:
+    """Rows of the first ``wikitable``, each a list of cell texts; tables inside a cell are text."""
+    rows: list[list[str]] = []
+    depth, cell = 0, None
+    for text, ends, name, classes in _tags(html):
+        if cell is not None:
+            cell.append(text)
+        border = depth == 1 and name in ("table", "tr", "td", "th", "") and (ends or name != "table")
+        if border and cell is not None:
+            rows[-1].append(unescape("".join(cell)).strip())
+            cell = None
+        if name == "table" and ends and depth:
+            depth -= 1
+            if depth == 0:
+                break
+        elif name == "table" and not ends and (depth or "wikitable" in classes):
+            depth += 1
+        elif depth == 1 and name == "tr" and not ends:
+            rows.append([])
+        elif depth == 1 and name in ("td", "th") and not ends and rows:
+            cell = []
+    return rows
+
+
+# The marked parts of a calendar cell.
+_CELL_PARTS = {("div", "phrase"): "phrase", ("span", "hi"): "hi", ("span", "low"): "low"}
+
+
+def _calendar_days(html: str) -> list[dict[str, str]]:
+    """Each ``li`` of class ``calendar-day``: its marked parts, and the rest of its text as ``free``."""
+    cells: list[dict[str, str]] = []
+    inside: list[tuple[str, str]] = []  # open elements of the cell, with the part their text belongs to
+    for text, ends, name, classes in _tags(html):
+        if inside and text:
+            cells[-1][inside[-1][1]] += text
+        if not name or not (inside or classes):
+            continue
+        if ends:
+            if inside and inside[-1][0] == name:
+                inside.pop()
+            elif any(tag == name for tag, _ in inside):
+                while inside.pop()[0] != name:
+                    pass
+        elif name == "li" and any("calendar-day" in c for c in classes):
+            cells.append({"free": ""})
+            inside = [(name, "free")]
+        elif inside:
+            part = inside[-1][1]
+            for marked in classes:
+                found = _CELL_PARTS.get((name, marked))
+                if found and found not in cells[-1]:
+                    part, cells[-1][found] = found, ""
+            inside.append((name, part))
+    return [{part: unescape(text) for part, text in cell.items()} for cell in cells]
 
 
 def parse_html_table(pages: DataFrame) -> DataFrame:
@@ -160,7 +151,7 @@ def parse_html_table(pages: DataFrame) -> DataFrame:
             found = [
                 (page, number, cells)
                 for page, html in zip(batch["page_id"], batch["html"])
-                for number, cells in enumerate(_TableRows(html).rows)
+                for number, cells in enumerate(_table_rows(html))
                 if number > 0 and cells
             ]
             yield pd.DataFrame(found, columns=["page_id", "row_num", "cells"])
@@ -194,7 +185,7 @@ def parse_calendar_cells(pages: DataFrame) -> DataFrame:
             found = [
                 (page, pos, *(cell.get(n) for n in names))
                 for page, html in zip(batch["page_id"], batch["html"])
-                for pos, cell in enumerate(_CalendarDays(html).cells)
+                for pos, cell in enumerate(_calendar_days(html))
             ]
             yield pd.DataFrame(found, columns=["page_id", "pos", *names])
 
