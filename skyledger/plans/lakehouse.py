@@ -60,19 +60,23 @@ def build(spark: SparkSession, raw: dict[str, str], out: str, trees: int = forec
     ``normals`` and ``revisions``. The result maps table names to written tables below ``out``.
     ``source_order`` says which source wins a day that several have.
     """
-    def typed(name: str, ddl: str) -> DataFrame:
-        return readers.read_typed_csv(spark, raw[name], ddl)
-
     def write(df: DataFrame, name: str) -> DataFrame:
         writers.overwrite_parquet(df, f"{out}/{name}")
         return spark.read.parquet(f"{out}/{name}")
 
+    def staging(name: str, ddl: str) -> DataFrame:
+        # text is parsed once; the merge reads each source several times
+        return write(readers.read_typed_csv(spark, raw[name], ddl), f"staging/{name}")
+
     tables = {"merged_weather": write(
-        merge_sources(typed("calendar", CALENDAR_STAGING), typed("archive", ARCHIVE_STAGING)), "merged_weather")}
+        merge_sources(staging("calendar", CALENDAR_STAGING), staging("archive", ARCHIVE_STAGING)), "merged_weather")}
     if "normals" in raw:
+        tables["climate_insights"] = staging("normals", NORMALS_STAGING)
         tables["climate_insights_long"] = write(
-            normals.unpivot_months(typed("normals", NORMALS_STAGING)), "climate_insights_long")
-    changes = readers.read_optional(spark, lambda: typed("revisions", REVISIONS), REVISIONS)
+            normals.unpivot_months(tables["climate_insights"]), "climate_insights_long")
+    changes = spark.createDataFrame([], REVISIONS)
+    if "revisions" in raw:
+        changes = write(readers.read_typed_csv(spark, raw["revisions"], REVISIONS), "revision_history")
     monthly = readers.read_text_csv(spark, raw["monthly"]) if "monthly" in raw else None
     tables["silver"] = write(silver(bronze(tables["merged_weather"], monthly), changes, source_order), "silver")
     tables.update(gold(tables["silver"], f"{out}/gold"))
