@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Address and options of an archive request.
+ARCHIVE_BASE = "https://archive-api.open-meteo.com/v1/archive"
+ARCHIVE_OPTIONS = (
+    "&daily=weather_code,temperature_2m_max,temperature_2m_min,relative_humidity_2m_mean"
+    "&timezone=Africa%2FCairo&format=csv"
+)
+
 
 def months_to_collect(today: Column) -> Column:
     """First days of January up to the last complete month.
@@ -23,8 +30,8 @@ def month_bounds(year: Column, month: Column) -> tuple[Column, Column]:
     return first, F.last_day(first)
 
 
-def archive_request(latitude: Column, longitude: Column, year: Column, month: Column, base: str,
-                    options: str) -> Column:
+def archive_request(latitude: Column, longitude: Column, year: Column, month: Column,
+                    base: str = ARCHIVE_BASE, options: str = ARCHIVE_OPTIONS) -> Column:
     """Request text for one location and month."""
     first, last = month_bounds(year, month)
     return F.concat(

@@ -20,6 +20,8 @@ STAND_INS = {
     "avg_max_temp": ["Max_Temp", "max_temp"],
     "avg_min_temp": ["Min_Temp", "min_temp"],
 }
+# Spellings of one source next to those the other sources use. Not applied by default.
+PLACE_ALIASES = {"Kalyoubia": "Qalyubia", "Monufia": "Menofia", "Asyut": "Assiut"}
 DEFAULT_CONDITION = "weather_data"
 DEFAULT_SOURCE = "unknown"
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyledger.functions import weather
-from skyledger.functions.calendar import months_to_collect
 from skyledger.functions.text import date_in_text
-from skyledger.operators import asof, cleaning, columns, extract, merge, normals, ranking, retrieval, star
+from skyledger.operators import asof, cleaning, collect, columns, extract, merge, normals, ranking, retrieval, star
 from skyledger.operators.features import mark_split, sort_chronological
 from skyledger.plans import bindings as b
 from skyledger.plans.bindings import plain, with_views
@@ -179,9 +178,8 @@ def join_anti_loaded(spark, sf):
 
 
 def join_cross_plan(spark, sf):
-    months = F.explode(months_to_collect(b.today())).alias("first_day")
-    return b.table(spark, sf, "supplier").select("s_name", months).select(
-        F.col("s_name").alias("city"), F.year("first_day").alias("year"), F.month("first_day").alias("month"))
+    places = b.table(spark, sf, "supplier").select(F.col("s_name").alias("city"))
+    return collect.collection_plan(places, b.today())
 
 
 def join_region_map(spark, sf):

@@ -12,8 +12,6 @@ from skyledger.plans.relational import HEAT_CASE, SEASON_CASE, valid_reports
 from skyledger.schemas import MEAN_FILLED
 
 LINE = ["l_orderkey", "l_linenumber"]
-REQUEST_BASE = "https://archive.example/v1"
-REQUEST_OPTIONS = "&daily=weather_code&format=csv"
 
 
 def fn_temp_range(spark, sf):
@@ -93,8 +91,7 @@ def fn_month_calendar(spark, sf):
 def fn_month_bounds(spark, sf):
     year, month = F.year("o_orderdate"), F.month("o_orderdate")
     first, last = calendar.month_bounds(year, month)
-    request = calendar.archive_request(
-        F.col("o_custkey"), F.col("o_orderkey"), year, month, REQUEST_BASE, REQUEST_OPTIONS)
+    request = calendar.archive_request(F.col("o_custkey"), F.col("o_orderkey"), year, month)
     return b.table(spark, sf, "orders").select(
         "o_orderkey", first.alias("first_day"), last.alias("last_day"), request.alias("request"))
 
@@ -143,9 +140,9 @@ SQL = {
 l AS (SELECT o_orderkey, CASE WHEN t = last_day(t) THEN t ELSE CAST(date_trunc('month', t) AS DATE) - 1 END AS x FROM d)
 SELECT o_orderkey, make_date(year(x), m, 1) AS first_day FROM l, range(1, 13) r(m) WHERE m <= month(x)""",
     "fn_month_bounds": f"""SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS first_day,
-  last_day(o_orderdate) AS last_day, '{REQUEST_BASE}?latitude=' || o_custkey || '&longitude=' || o_orderkey
+  last_day(o_orderdate) AS last_day, '{calendar.ARCHIVE_BASE}?latitude=' || o_custkey || '&longitude=' || o_orderkey
   || '&start_date=' || strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') || '&end_date='
-  || strftime(last_day(o_orderdate), '%Y-%m-%d') || '{REQUEST_OPTIONS}' AS request FROM orders""",
+  || strftime(last_day(o_orderdate), '%Y-%m-%d') || '{calendar.ARCHIVE_OPTIONS}' AS request FROM orders""",
     "fn_extract_date": with_views("SELECT question_id, asked_date FROM dated", "dated"),
     "fn_parse_normal": with_views("""SELECT metric_name, month_num,
   TRY_CAST(split_part(value, '(', 1) AS DOUBLE) AS value FROM normals_long""", "normals_long"),

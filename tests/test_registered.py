@@ -70,3 +70,21 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "GreaterThanOrEqual(l_shipdate" in text
     schema = next(x for x in text.splitlines() if "ReadSchema" in x)
     assert "l_tax" not in schema and "l_quantity" in schema
+
+
+@pytest.mark.parametrize("name", ["join_star_dims", "join_asof_backward", "join_month_normals", "win_label_encode"])
+def test_same_result_when_nothing_is_small_enough_to_broadcast(spark, duck, name):
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for setting in settings:
+        spark.conf.set(setting, "-1")
+    try:
+        got = QUERIES[name](spark, SF)
+        text = plan(got)
+        assert "SortMergeJoin" in text and "NestedLoopJoin" not in text
+        cursor = duck.execute(SQL[name])
+        names = [d[0] for d in cursor.description]
+        rows = ordered(tuple(r) for r in got.select(*[f"`{n}`" for n in names]).collect())
+        assert rows == ordered(cursor.fetchall())
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)

@@ -263,3 +263,18 @@ def test_unpivot_and_month_join(spark):
     assert sorted((r["month_num"], r["value"]) for r in long.collect()) == [(m, f"{m}.5(1)") for m in range(1, 13)]
     joined = normals.join_month_normals(left_days(spark, [D[0], date(2024, 12, 1), None]), long)
     assert sorted((r["k"], r["climate_normal_value"]) for r in joined.collect()) == [(0, "1.5(1)"), (1, "12.5(1)")]
+
+
+def test_a_third_of_all_rows_on_one_key(spark):
+    rng = random.Random(11)
+    rows = [("x", "hot" if rng.random() < 0.34 else f"p{rng.randint(0, 40)}", D[0] if rng.random() < 0.34 else D[rng.randint(0, 9)],
+             "c", "s", float(rng.randint(-20, 70)), float(rng.randint(-20, 70)), 50.0, None, None) for _ in range(6000)]
+    best = {}
+    for r in rows:
+        k = (r[1], r[2])
+        best[k] = max(best.get(k, (-99.0, -99.0)), (r[5], r[6]))
+    df = obs(spark, rows).repartition(8)
+    got = {(r["governorate"], r["date"]): (r["avg_max_temp"], r["avg_min_temp"]) for r in cleaning.dedup_rows(df).collect()}
+    assert got == best
+    audit = cleaning.row_audit(df).first()
+    assert (audit["rows_before"], audit["rows_after_dedup"]) == (6000, len(best))
