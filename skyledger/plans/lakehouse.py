@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import asof, cleaning, features, forecast, normals, star
-from skyledger.operators.columns import standardize
+from skyledger.operators.columns import standardize, union_all
 from skyledger.operators.merge import merge_sources
 from skyledger.schemas import ARCHIVE_STAGING, CALENDAR_STAGING, NORMALS_STAGING, REVISIONS
 from skyledger.sources import readers, writers
@@ -21,7 +21,7 @@ CHANGE_COLUMNS = ["revision_timestamp", "user", "comment"]
 def bronze(merged: DataFrame, monthly: DataFrame | None = None) -> DataFrame:
     """Merged observations and, where there are any, the monthly ones, in canonical columns."""
     frames = [standardize(frame) for frame in (merged, monthly) if frame is not None]
-    return readers.union_all(frames)
+    return union_all(frames)
 
 
 def silver(observations: DataFrame, changes: DataFrame, source_order: list[str] | None = None) -> DataFrame:

@@ -11,7 +11,6 @@ from skyledger.operators.features import mark_split, sort_chronological
 from skyledger.plans import bindings as b
 from skyledger.plans.bindings import plain, with_views
 from skyledger.schemas import MEAN_FILLED, ML_DROPPED
-from skyledger.sources.readers import union_all
 from skyledger.sources.writers import new_months
 from skyledger.storage import staged
 
@@ -310,13 +309,13 @@ def limit_top1(spark, sf):
 def union_by_name(spark, sf):
     m = plain(b.merged(spark, sf)).select("id", "governorate", "date", "avg_max_temp", "condition")
     r = b.reports(spark, sf).select("id", "date", "governorate", "avg_max_temp", "source")
-    return union_all([m, r])
+    return columns.union_all([m, r])
 
 
 def union_all_concat(spark, sf):
     g = b.calendar(spark, sf).select("governorate", "weather_date", F.col("high_temp_c").alias("temp"))
     e = b.archive(spark, sf).select("governorate", "weather_date", F.col("max_temp").alias("temp"))
-    return plain(union_all([g, e]))
+    return plain(columns.union_all([g, e]))
 
 
 def unpivot_months(spark, sf):

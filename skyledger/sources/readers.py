@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from py4j.protocol import Py4JJavaError
 
-from skyledger.operators.columns import standardize
+from skyledger.operators.columns import standardize, union_all
 
 
 def read_text_csv(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> DataFrame:
@@ -46,11 +45,6 @@ def read_weather_csvs(spark: SparkSession, families: list[tuple[str, str]]) -> D
     return union_all(frames)
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """Union by column name; a column a frame lacks is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
               column: str, lower: str, upper: str, partitions: int) -> DataFrame:
     """A database table in ``partitions`` parallel ranges of ``column``.

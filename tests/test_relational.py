@@ -47,7 +47,9 @@ def test_merge_forms_agree_on_repeated_keys(spark):
     left = [(place(), "x", Decimal(rng.randint(0, 40)), Decimal(rng.randint(0, 40)), D[rng.randint(0, 2)]) for _ in range(60)]
     right = [(place(), D[rng.randint(0, 3)], 1, Decimal(rng.randint(0, 40)), None, None, "s") for _ in range(60)]
     g, e = spark.createDataFrame(left, CALENDAR_STAGING), spark.createDataFrame(right, ARCHIVE_STAGING)
-    assert values(merge.merge_sources(g, e, True)) == values(merge.merge_sources(g, e, False))
+    expected = values(merge.merge_sources(g, e, True))
+    assert expected == values(merge.merge_sources(g, e))
+    assert expected == values(merge.merge_sources(g, e, hot_rows=5))
 
 
 CANON = "id string, governorate string, date date, condition string, source string, avg_max_temp double, avg_min_temp double, avg_humidity double, std_max_temp double, max_temp double"
