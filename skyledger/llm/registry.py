@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, near_dedup, sharding
+from . import exact_dedup, langid, near_dedup, packing, secret_scan, sharding
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_langid": langid.op2_langid,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_near_dedup": near_dedup.op8_near_dedup,
+    "op9_secret_scan": secret_scan.op9_secret_scan,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
-SQL = {"op7_exact_dedup": exact_dedup.OP7_SQL}
+SQL = {"op7_exact_dedup": exact_dedup.OP7_SQL, "op9_secret_scan": secret_scan.check_sql()}
