@@ -7,11 +7,12 @@ coordinate of two sketches agrees with probability equal to the Jaccard similari
 concentrated as if all coordinates were independent. ``BANDS`` bands of ``BINS / BANDS`` coordinates name
 buckets: a pair at similarity 0.8 shares none with probability (1 - 0.8 ** 4) ** 24 = 3e-6.
 
-Pairs are never listed by bucket. Each bucket first compares its members with one of them, the one that meets most others in all
-buckets. Links found are joined into components; members that are still apart from the largest component of their bucket then
-lead in turn, four times as many a round, until no two members of a bucket are both in different
-components and uncompared. So every link within a bucket is found, at a number of comparisons that
-is linear wherever the members do belong together. Comparisons are exact, on the sets of whole texts.
+Pairs are never listed by bucket. Each bucket first compares its members with one of them, the one that meets most
+others in all buckets, and links found are joined into components. Where that leaves several components in a bucket, the
+members outside its largest component (the strays) are compared with all its members in blocks: a task holds
+about ``LEAD_BYTES`` of strays and ``BLOCK_BYTES`` of members, however many there are, counts common shingles through an index of its
+block, and returns one link for each component that a stray reaches. So every link between two components that a
+bucket can show is found, and rows stay linear in the members. Comparisons are exact, on the sets of whole texts.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stage, components, mix, pieces, text_key, without
 
 BINS, BANDS = 96, 24
+LEAD_BYTES, BLOCK_BYTES = 1 << 20, 4 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 _BASE = 0x5851F42D4C957F2D
@@ -160,6 +162,39 @@ def _verifier(k: int, percent: int):
     return run
 
 
+def _block(k: int, percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Links between strays and members of one block that lead to another component."""
+        table = table.combine_chunks()
+        lead = table.column("lead").to_numpy(zero_copy_only=False).astype(bool)
+        rids, roots = table.column("rid").to_numpy(), table.column("root").to_numpy()
+        sets, sizes = [], []
+        texts = _texts(table.column("text"))
+        for a, b in pieces(texts, 1 << 21):
+            s, n = shingle_sets(texts[a:b], k)
+            sets.append(s)
+            sizes.append(n)
+        sets, sizes = np.concatenate(sets), np.concatenate(sizes)
+        ends = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        member = ~lead[owner]
+        order = np.argsort(sets[member], kind="stable")
+        index, holder = sets[member][order], owner[member][order]
+        out = []
+        for x in np.flatnonzero(lead):
+            own = sets[ends[x] - sizes[x]: ends[x]]
+            low = np.searchsorted(index, own, "left")
+            many = np.searchsorted(index, own, "right") - low
+            at = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+            common = np.bincount(holder[at], minlength=len(sizes))
+            good = (common > 0) & (100 * common >= percent * (sizes[x] + sizes - common)) & (roots != roots[x])
+            for root in np.unique(roots[good]):
+                out.append((rids[x], rids[good & (roots == root)][0]))
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
 def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4, percent: int = 80) -> DataFrame:
     """``df`` without its texts: id, ``n_shingles``, ``component_id``, ``kept`` for every row.
 
@@ -174,7 +209,7 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
     """
     spark = df.sparkSession
     stage = Stage(spark, "near-dedup")
-    base = df.select(F.col(f"`{id}`").alias("id"), F.lower(F.lit("")).alias("_"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).drop("_")
+    base = df.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     base = base.withColumn("key", text_key(F.col("text")))
     id_type = df.schema[id].dataType.simpleString()
 
@@ -196,46 +231,36 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
     joined = base.join(involved, base["id"].eqNullSafe(F.col("_id")) & (base["key"] == F.col("_key")))
     texts = stage.keep(joined.select("rid", "text").dropDuplicates(["rid"]), "involved")
 
-    def compared(pairs: DataFrame, name: str) -> DataFrame:
-        a = texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a"))
-        b = texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b"))
-        return stage.keep(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-                          .mapInArrow(_verifier(k, percent), "a long, b long"), name)
-
-    def between(leads: DataFrame, members: DataFrame) -> DataFrame:
-        """Distinct pairs of a bucket's leads and members whose sizes allow a link."""
-        met = members.join(leads.withColumnsRenamed({"rid": "lead", "n": "lead_n", "root": "lead_root"}), "bucket")
-        low, high = F.least("n", "lead_n"), F.greatest("n", "lead_n")
-        apart = F.col("root") != F.col("lead_root") if "root" in members.columns else F.col("rid") != F.col("lead")
-        return met.where(apart & (100 * low >= percent * high)).select(
-            F.least("rid", "lead").alias("a"), F.greatest("rid", "lead").alias("b")).distinct()
-
-    first = hits.groupBy("bucket").agg(F.max_by(F.struct("rid", "n"), F.struct("degree", F.negative("rid"))).alias("x"))
-    leads = stage.keep(first.select("bucket", "x.rid", "x.n"), "leads1")
-    tested = stage.keep(between(leads, hits.select("bucket", "rid", "n")), "pairs1")
-    links = compared(tested, "links1")
-    led, turn = leads.select("bucket", "rid"), 1
-    while True:
-        groups = components(links, stage)
-        roots = stage.keep(groups, f"roots{turn}")
-        placed = hits.join(roots, hits["rid"] == roots["node"], "left").select(
-            "bucket", "rid", "n", "degree", F.coalesce("root", "rid").alias("root"))
-        per_root = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
-        main = per_root.groupBy("bucket").agg(
-            F.max_by("root", F.struct("size", F.negative("root"))).alias("main"), F.count(F.lit(1)).alias("roots"),
-            F.sum("size").alias("all")).where("roots > 1 AND all > 2").select("bucket", "main")
-        mixed = stage.keep(placed.join(main, "bucket"), f"mixed{turn}")
-        turn += 1
-        waiting = mixed.where("root != main").join(led, ["bucket", "rid"], "left_anti")
-        order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "rid")
-        leads = stage.keep(waiting.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= 4 ** (turn - 1))
-                           .select("bucket", "rid", "n", "root"), f"leads{turn}")
-        if leads.isEmpty():
-            break
-        pairs = stage.keep(between(leads, mixed.select("bucket", "rid", "n", "root")).join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
-        found = compared(pairs, f"links{turn}")
-        links, tested = links.union(found), tested.union(pairs)
-        led = led.union(leads.select("bucket", "rid"))
+    # every bucket compares its members with one of them
+    first = hits.groupBy("bucket").agg(F.max_by(F.struct("rid", "n"), F.struct("degree", F.negative("rid"))).alias("lead"))
+    low, high = F.least("n", "lead.n"), F.greatest("n", "lead.n")
+    pairs = hits.join(first, "bucket").where((F.col("rid") != F.col("lead.rid")) & (100 * low >= percent * high)).select(
+        F.least("rid", "lead.rid").alias("a"), F.greatest("rid", "lead.rid").alias("b")).distinct()
+    text_a, text_b = (texts.select(F.col("rid").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    links = stage.keep(pairs.join(text_a, "a").join(text_b, "b").select("a", "b", "text_a", "text_b")
+                       .mapInArrow(_verifier(k, percent), "a long, b long"), "links1")
+
+    # where several components remain in a bucket, strays meet all its members in blocks
+    roots = stage.keep(components(links, stage), "roots1")
+    placed = hits.join(roots, hits["rid"] == roots["node"], "left").select(
+        "bucket", "rid", F.coalesce("root", "rid").alias("root"))
+    per_root = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
+    main = per_root.groupBy("bucket").agg(
+        F.max_by("root", F.struct("size", F.negative("root"))).alias("main"), F.count(F.lit(1)).alias("roots"),
+        F.sum("size").alias("all")).where("roots > 1 AND all > 2").select("bucket", "main")
+    mixed = stage.keep(placed.join(main, "bucket").join(
+        texts.select("rid", F.octet_length("text").alias("bytes")), "rid").withColumn("stray", F.expr("root != main")), "mixed")
+    blocks = mixed.groupBy("bucket").agg(
+        F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("member_blocks"),
+        F.ceil(F.sum(F.when(F.col("stray"), F.col("bytes"))) / LEAD_BYTES).cast("int").alias("lead_blocks"))
+    dealt = mixed.join(blocks, "bucket").withColumns({
+        "m": F.pmod(F.xxhash64("rid"), "member_blocks").cast("int"), "s": F.pmod(F.xxhash64("rid", F.lit(1)), "lead_blocks").cast("int")})
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    as_member = dealt.select("bucket", "m", every("lead_blocks").alias("s"), "rid", "root", F.lit(False).alias("lead"))
+    as_lead = dealt.where("stray").select("bucket", every("member_blocks").alias("m"), "s", "rid", "root", F.lit(True).alias("lead"))
+    strays = stage.keep(as_member.union(as_lead).join(texts, "rid").groupBy("bucket", "m", "s").applyInArrow(
+        _block(k, percent), "a long, b long"), "links2")
+    roots = stage.keep(components(links.union(strays), stage), "roots2")
 
     # answers for all rows: text -> component -> smallest id
     named = reps.select("key", "rid").join(roots, F.col("rid") == F.col("node"), "left").select(
