@@ -76,7 +76,7 @@ def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(words):
         return np.zeros(0, np.uint64), sizes
     padded = np.concatenate((words, np.zeros(k, np.uint64)))
-    rolled = sum((padded[j: j + len(words)] * _ODD[j % 4] + np.uint64(j // 4) for j in range(k)), np.zeros(len(words), np.uint64))
+    rolled = sum((padded[j: j + len(words)] * _ODD[j] for j in range(k)), np.zeros(len(words), np.uint64))
     owner = np.repeat(np.arange(len(texts)), sizes)
     first = np.concatenate(([0], np.cumsum(sizes)))
     at = np.arange(first[-1]) - first[owner] + starts[owner]
@@ -196,7 +196,7 @@ def _block(k: int, percent: int):
 
 
 def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4, percent: int = 80) -> DataFrame:
-    """``df`` without its texts: id, ``n_shingles``, ``component_id``, ``kept`` for every row.
+    """For every row of ``df``: id, ``n_shingles``, ``component_id``, ``kept``, ``text_key`` (``common.text_key`` of its text).
 
     Documents are linked if their shingle sets (``k`` words, A-Z lower-cased, words apart by ASCII white space)
     share at least ``percent`` per cent of their union. ``component_id`` is the smallest id that links reach; null ids
@@ -205,8 +205,9 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
     as one. Repeated rows get equal answers. An empty table gives an empty table. Columns other than
     id and text are not read.
 
-    Needs 2 <= ``k`` <= 8.
     """
+    if not 2 <= k <= len(_ODD):
+        raise ValueError(f"k must be from 2 to {len(_ODD)}")
     spark = df.sparkSession
     stage = Stage(spark, "near-dedup")
     base = df.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -265,15 +266,16 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
     # answers for all rows: text -> component -> smallest id
     named = reps.select("key", "rid").join(roots, F.col("rid") == F.col("node"), "left").select(
         "key", F.coalesce("root", "rid").alias("root"))
-    placed = stage.keep(drawn.where("n > 0").select("id", "key", "n").join(named, "key").select("id", "n", "root"), "placed")
+    placed = stage.keep(drawn.where("n > 0").select("id", "key", "n").join(named, "key").select("id", "n", "root", "key"), "placed")
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
-    some = placed.join(least, "root").select("id", "n", "component_id")
-    none = drawn.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    some = placed.join(least, "root").select("id", "n", "component_id", "key")
+    none = drawn.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "key")
     return some.union(none).select(
         F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.col("key").alias("text_key"))
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate component at four words and similarity 0.8."""
-    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_key")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, licenses, near_dedup, packing, secret_scan, sharding, urls
+from . import embedding, exact_dedup, langid, licenses, near_dedup, packing, pieces_bpe, secret_scan, sharding, urls
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_langid": langid.op2_langid,
+    "op3_near_embeddings": embedding.op3_near_embeddings,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_url_filter": urls.op5_url_filter,
+    "op6_piece_dropout": pieces_bpe.op6_piece_dropout,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_secret_scan": secret_scan.op9_secret_scan,
