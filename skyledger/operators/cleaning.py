@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,19 @@ UNKNOWN = "unknown"
 DAY_KEYS = ["date", "governorate"]
 
 
+def is_valid(columns: list[str]) -> Column:
+    """True where every core value is there and within its range; false otherwise, never null."""
+    checks = [F.col(c).isNotNull() for c in CORE if c in columns]
+    checks += [F.col(c).between(*bounds) for c, bounds in PLAUSIBLE.items() if c in columns]
+    return F.coalesce(reduce(lambda a, b: a & b, checks, F.lit(True)), F.lit(False))
+
+
 def survivor_order(columns: list[str], source_order: list[str]) -> list[Column]:
-    """Which of several rows for one place and day is kept: a total order over the facts."""
-    order = []
+    """Which of several rows for one place and day is kept: a total order over the facts.
+
+    Complete and plausible rows come first, so a day with a valid report is never lost to an invalid one.
+    """
+    order = [F.desc(is_valid(columns))]
     if source_order and "source" in columns:
         # a source the caller does not list ranks behind all listed ones
         position = F.array_position(F.array(*[F.lit(s) for s in source_order]), F.col("source"))

@@ -7,56 +7,33 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import weather
 from skyledger.operators.columns import union_all
-from skyledger.storage import staged
 
 KEYS = ["governorate", "weather_date"]
 
 
-def hot_keys(calendar: DataFrame, archive: DataFrame, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows in both sources together, and which source has them.
-
-    At most all rows / ``hot_rows`` keys, so their table can be broadcast.
-    """
-    marks = calendar.select(*KEYS, F.lit(1).alias("_g"), F.lit(0).alias("_e")).unionByName(
-        archive.select(*KEYS, F.lit(0).alias("_g"), F.lit(1).alias("_e"))
-    )
-    counts = marks.groupBy(*KEYS).agg(F.sum("_g").alias("_g"), F.sum("_e").alias("_e"))
-    return counts.where(F.col("_g") + F.col("_e") > hot_rows)
-
-
-def outer_match(calendar: DataFrame, archive: DataFrame, keys_unique: bool, hot_rows: int) -> DataFrame:
+def outer_match(calendar: DataFrame, archive: DataFrame, keys_unique: bool) -> DataFrame:
     """Full outer join with coalesced keys.
 
-    With one row per key and source the plain full outer join is best: views grouped on the key
-    need no further shuffle for it. Where keys may repeat, one may hold most rows, and a full outer
-    join cannot be split. So rows of hot keys go another way: those of keys both sources have meet
-    in an inner join, which adaptive execution splits on both sides, and the others match nothing
-    and are taken as they are. Rows without a place match nothing either and skip the join.
+    Where the caller states one row per key and source, the plain full outer join is best: views grouped on
+    the key need no further shuffle for it. Otherwise one key may hold most rows, and a full outer join cannot
+    be split. So matches come from an inner join, which adaptive execution splits on both sides, and each source's
+    other rows from an anti join with the other's distinct keys, which it splits on the large side. Rows without a place
+    match nothing and skip the joins.
     """
     if keys_unique:
         return calendar.join(archive, KEYS, "full_outer")
     placed = F.col("governorate").isNotNull()
     g, e = calendar.where(placed), archive.where(placed)
-    parts = [calendar.where(~placed), archive.where(~placed)]
-    hot = staged(hot_keys(g, e, hot_rows), "hot-keys")
-    if hot.isEmpty():
-        parts.append(g.join(e, KEYS, "full_outer"))
-    else:
-        def rows_of(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
-            return df.join(F.broadcast(keys.select(*KEYS)), KEYS, how)
-
-        both = hot.where((F.col("_g") > 0) & (F.col("_e") > 0))
-        parts += [
-            rows_of(g, hot, "left_anti").join(rows_of(e, hot, "left_anti"), KEYS, "full_outer"),
-            rows_of(g, both).join(rows_of(e, both), KEYS, "inner"),
-            rows_of(g, hot.where(F.col("_e") == 0)),
-            rows_of(e, hot.where(F.col("_g") == 0)),
-        ]
-    return union_all(parts)
+    return union_all([
+        g.join(e, KEYS, "inner"),
+        g.join(e.select(*KEYS).distinct(), KEYS, "left_anti"),
+        e.join(g.select(*KEYS).distinct(), KEYS, "left_anti"),
+        calendar.where(~placed),
+        archive.where(~placed),
+    ])
 
 
-def merge_sources(calendar: DataFrame, archive: DataFrame, keys_unique: bool = False,
-                  hot_rows: int = 1_000_000) -> DataFrame:
+def merge_sources(calendar: DataFrame, archive: DataFrame, keys_unique: bool = False) -> DataFrame:
     """One row per matched or unmatched (place, day), with mean, range and deviation of the pair.
 
     Rows without a day are left out before the join, which gives the same rows as afterwards (a
@@ -67,7 +44,6 @@ def merge_sources(calendar: DataFrame, archive: DataFrame, keys_unique: bool = F
         calendar.where(dated).select(*KEYS, "condition", "high_temp_c", "low_temp_c"),
         archive.where(dated).select(*KEYS, "weather_code", "max_temp", "min_temp", "avg_humidity"),
         keys_unique,
-        hot_rows,
     )
     place, day = F.col("governorate"), F.col("weather_date")
     high, top = F.col("high_temp_c"), F.col("max_temp")

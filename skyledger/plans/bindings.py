@@ -158,18 +158,18 @@ def today():
 
 
 def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log: error events."""
+    """Change log: all events."""
     return (
-        table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+        table(spark, sf_dir, "events")
         .select(F.col("ts").alias("revision_timestamp"), F.col("user_id").cast("string").alias("user"),
                 F.col("props").alias("comment"))
     )
 
 
 def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log in the span of the line items: orders still in progress."""
+    """Change log in the span of the line items: all orders."""
     return (
-        table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+        table(spark, sf_dir, "orders")
         .select(F.col("o_orderdate").alias("revision_timestamp"),
                 F.col("o_custkey").cast("string").alias("user"), F.col("o_orderpriority").alias("comment"))
     )
@@ -220,27 +220,26 @@ SELECT n_name AS governorate, CAST(o_orderdate AS DATE) AS weather_date,
        CAST(floor(min(o_totalprice) / 8000) AS DOUBLE) AS low_temp_c
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY n_name, CAST(o_orderdate AS DATE)""",
+    # both values as a list, nulls left out; the list functions give mean, spread and population deviation
     "pairs": """
-SELECT coalesce(g.governorate, e.governorate) AS governorate,
-       coalesce(g.weather_date, e.weather_date) AS date, e.weather_code, g.condition,
-       g.high_temp_c, e.max_temp, g.low_temp_c, e.min_temp, e.avg_humidity,
-       (g.high_temp_c IS NOT NULL)::INT + (e.max_temp IS NOT NULL)::INT AS max_cnt,
-       (g.low_temp_c IS NOT NULL)::INT + (e.min_temp IS NOT NULL)::INT AS min_cnt
-FROM calendar g FULL OUTER JOIN archive e
-  ON g.governorate = e.governorate AND g.weather_date = e.weather_date""",
+SELECT governorate, weather_date AS date, max(weather_code) AS weather_code, max(condition) AS condition,
+       max(high_temp_c) AS high_temp_c, max(max_temp) AS max_temp, max(low_temp_c) AS low_temp_c,
+       max(min_temp) AS min_temp, max(avg_humidity) AS avg_humidity,
+       list_filter([max(high_temp_c), max(max_temp)], lambda x: x IS NOT NULL) AS tops,
+       list_filter([max(low_temp_c), max(min_temp)], lambda x: x IS NOT NULL) AS bottoms
+FROM (SELECT governorate, weather_date, condition, high_temp_c, low_temp_c, NULL AS weather_code, NULL AS max_temp,
+             NULL AS min_temp, NULL AS avg_humidity FROM calendar
+      UNION ALL BY NAME
+      SELECT governorate, weather_date, weather_code, max_temp, min_temp, avg_humidity FROM archive)
+GROUP BY governorate, weather_date""",
     "merged": """
 SELECT coalesce(governorate, 'NA') || '_' || strftime(date, '%Y-%m-%d') AS id, governorate, date,
-       weather_code, condition, high_temp_c, max_temp,
-       round((coalesce(high_temp_c, 0) + coalesce(max_temp, 0)) / nullif(max_cnt, 0), 2) AS avg_max_temp,
-       CASE WHEN max_cnt = 2 THEN greatest(high_temp_c, max_temp) - least(high_temp_c, max_temp) ELSE 0.0::DOUBLE END AS range_max_temp,
-       CASE WHEN max_cnt = 2 THEN round(sqrt((pow(high_temp_c - (high_temp_c + max_temp) / 2, 2) + pow(max_temp - (high_temp_c + max_temp) / 2, 2)) / 2), 2)
-            WHEN max_cnt = 1 THEN 0.0::DOUBLE END AS std_max_temp,
-       low_temp_c, min_temp,
-       round((coalesce(low_temp_c, 0) + coalesce(min_temp, 0)) / nullif(min_cnt, 0), 2) AS avg_min_temp,
-       CASE WHEN min_cnt = 2 THEN greatest(low_temp_c, min_temp) - least(low_temp_c, min_temp) ELSE 0.0::DOUBLE END AS range_min_temp,
-       CASE WHEN min_cnt = 2 THEN round(sqrt((pow(low_temp_c - (low_temp_c + min_temp) / 2, 2) + pow(min_temp - (low_temp_c + min_temp) / 2, 2)) / 2), 2)
-            WHEN min_cnt = 1 THEN 0.0::DOUBLE END AS std_min_temp,
-       avg_humidity
+       weather_code, condition, high_temp_c, max_temp, round(list_avg(tops), 2) AS avg_max_temp,
+       coalesce(list_max(tops) - list_min(tops), 0.0::DOUBLE) AS range_max_temp,
+       round(list_stddev_pop(tops), 2) AS std_max_temp,
+       low_temp_c, min_temp, round(list_avg(bottoms), 2) AS avg_min_temp,
+       coalesce(list_max(bottoms) - list_min(bottoms), 0.0::DOUBLE) AS range_min_temp,
+       round(list_stddev_pop(bottoms), 2) AS std_min_temp, avg_humidity
 FROM pairs""",
     "reports": """
 SELECT s_name || '_' || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS id, s_name AS governorate,
@@ -257,7 +256,9 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (
     PARTITION BY governorate, date
-    ORDER BY CASE source WHEN 'archive' THEN 1 WHEN 'calendar' THEN 2 END NULLS LAST,
+    ORDER BY CASE WHEN governorate IS NOT NULL AND date IS NOT NULL AND avg_max_temp BETWEEN -10 AND 60
+               AND avg_min_temp BETWEEN -10 AND 60 AND avg_humidity BETWEEN 0 AND 100 THEN 0 ELSE 1 END,
+             CASE source WHEN 'archive' THEN 1 WHEN 'calendar' THEN 2 END NULLS LAST,
              avg_max_temp DESC NULLS LAST, avg_min_temp DESC NULLS LAST, avg_humidity DESC NULLS LAST,
              condition ASC NULLS FIRST, id ASC NULLS FIRST, weather_code DESC NULLS LAST,
              std_max_temp DESC NULLS LAST, std_min_temp DESC NULLS LAST) AS rn
@@ -335,10 +336,10 @@ FROM asked a LEFT JOIN (SELECT governorate, max(date) AS latest FROM serving GRO
   ON l.governorate = a.asked_place""",
     "revisions": """
 SELECT ts AS revision_timestamp, CAST(user_id AS VARCHAR) AS "user", props AS comment
-FROM events WHERE event_type = 'error'""",
+FROM events""",
     "order_revisions": """
 SELECT o_orderdate AS revision_timestamp, CAST(o_custkey AS VARCHAR) AS "user", o_orderpriority AS comment
-FROM orders WHERE o_orderstatus = 'P'""",
+FROM orders""",
     "normals_long": """
 SELECT 'Mean ' || l_returnflag || l_linestatus AS metric_name, CAST(m AS INTEGER) AS month_num,
        CAST(q AS VARCHAR) || '(' || CAST(q * 9 / 5 + 32 AS VARCHAR) || ')' AS value

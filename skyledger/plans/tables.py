@@ -15,7 +15,7 @@ from skyledger.plans.relational import MONTHLY, monthly, raw_reports
 from skyledger.schemas import ARCHIVE_STAGING, MONTHLY as MONTHLY_DDL, REVISIONS
 from skyledger.sources import readers, writers
 from skyledger.storage import fresh_path, staged
-from skyledger.streaming.months import append_months, upsert_months, watch_months
+from skyledger.streaming.months import load_months, watch_months
 
 BOM = "﻿"
 
@@ -67,8 +67,7 @@ def scan_empty_typed(spark, sf):
 def scan_parquet(spark, sf):
     lines = readers.read_parquet(spark, f"{sf}/lineitem.parquet",
                                  ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"])
-    return lines.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
-        "l_orderkey", "l_linenumber", "l_quantity")
+    return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
 def scan_text_csv_bom(spark, sf):
@@ -227,34 +226,34 @@ def sink_append_new_months(spark, sf):
 
 # ---- streams -----------------------------------------------------------------------------------
 
-def drop_month_files(df, folder):
-    """One CSV file per month, as a collector leaves them. A month has at most 31 rows per place."""
+def drop_month_files(df, folder, version):
+    """CSV files of one drop, as collectors leave them: a month may be spread over several files."""
     names = {"Governorate": "governorate", "Date": "date", "Year": "year", "Month": "month",
              "Weather_Code": "weather_code", "Max_Temp": "max_temp", "Min_Temp": "min_temp",
              "Avg_Humidity": "avg_humidity", "Source": "source"}
-    files = df.select(*[F.col(c).alias(n) for n, c in names.items()],
-                      F.col("year").alias("y"), F.col("month").alias("m"))
-    files.repartition("y", "m").write.mode("append").option("header", True).partitionBy("y", "m").csv(folder)
+    files = df.select(*[F.col(c).alias(n) for n, c in names.items()], F.col("year").alias("y"))
+    files.repartition(3, "governorate").write.mode("append").option("header", True).partitionBy("y").csv(f"{folder}/drop={version}")
 
 
 def stream_month_files(spark, sf):
-    """Two runs over a growing folder; the second also finds known months again."""
+    """Two runs over a growing folder; the second also finds known months again, which stay as they were."""
     folder, target, state = (fresh_path(spark, n) for n in ("drop", "target", "state"))
     rows = monthly(spark, sf)
-    for batch in (rows.where(F.col("year") < 1998), rows.where(F.col("year") >= 1997).withColumn("source", F.lit("second"))):
-        drop_month_files(batch, folder)
-        append_months(watch_months(spark, folder, MONTHLY_DDL), target, state).awaitTermination()
-    return spark.read.parquet(target)
+    drops = (rows.where(F.col("year") < 1998), rows.where(F.col("year") >= 1997).withColumn("source", F.lit("second")))
+    for version, batch in enumerate(drops):
+        drop_month_files(batch, folder, version)
+        load_months(watch_months(spark, folder, MONTHLY_DDL, max_files=10), target, state).awaitTermination()
+    return writers.read_months(spark, target, "first")
 
 
 def stream_upsert_month(spark, sf):
     """Two runs; months dropped again replace what was there."""
     folder, target, state = (fresh_path(spark, n) for n in ("drop", "target", "state"))
     rows = monthly(spark, sf)
-    for batch in (rows, rows.where(F.col("year") == 1998).withColumn("source", F.lit("corrected"))):
-        drop_month_files(batch, folder)
-        upsert_months(watch_months(spark, folder, MONTHLY_DDL), target, state).awaitTermination()
-    return spark.read.parquet(target)
+    for version, batch in enumerate((rows, rows.where(F.col("year") == 1998).withColumn("source", F.lit("corrected")))):
+        drop_month_files(batch, folder, version)
+        load_months(watch_months(spark, folder, MONTHLY_DDL, max_files=10), target, state).awaitTermination()
+    return writers.read_months(spark, target, "newest")
 
 
 QUERIES = {
@@ -288,7 +287,7 @@ SQL = {
 UNION ALL SELECT governorate || '_' || strftime(weather_date, '%Y-%m-%d'), governorate, weather_date, weather_code,
   'weather_data', max_temp, min_temp, avg_humidity, source FROM archive""", "merged"),
     "scan_empty_typed": """SELECT event_id, CAST(ts AS DATE) AS date, NULL::VARCHAR AS "user", NULL::VARCHAR AS comment FROM events""",
-    "scan_parquet": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'""",
+    "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem",
     "scan_text_csv_bom": with_views("""SELECT strftime(revision_timestamp, '%Y-%m-%d %H:%M:%S') AS "Timestamp", "user" AS "User",
   'said "hi", ' || comment || CASE WHEN "user" > '5' THEN chr(10) || 'more' ELSE '' END AS "Comment" FROM revisions""", "revisions"),
     "parse_archive_payload": with_views(f"""SELECT governorate AS "Governorate", date AS "Date", year AS "Year", month AS "Month",

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from py4j.protocol import Py4JJavaError
 
 from skyledger.operators.columns import standardize, union_all
 
@@ -29,7 +28,11 @@ def read_typed_csv(spark: SparkSession, path: str, ddl: str, keep_corrupt: bool
 
 
 def read_multiline_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Text CSV whose quoted fields may hold line breaks and doubled quotes."""
+    """Text CSV whose quoted fields may hold line breaks and doubled quotes.
+
+    A file is one task, since a quoted break cannot be told from a row's end without reading from the
+    start. So a long log has to come as many files; ``write_clean_csv`` writes one per partition.
+    """
     return (
         spark.read.option("header", True).option("multiLine", True).option("quote", '"')
         .option("escape", '"').csv(path)
@@ -57,14 +60,23 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
     )
 
 
+#: Conditions that mean a source is not there: no such path, no such table, a folder without data files.
+ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
 def try_read(load: Callable[[], DataFrame]) -> DataFrame | None:
-    """The frame, or none where its source cannot be resolved. Looks at the schema only."""
+    """The frame, or none where its source is absent. Looks at the schema only.
+
+    Any other failure, such as a denied read or a corrupt file, is raised: it says nothing about absence.
+    """
     try:
         frame = load()
         frame.schema
         return frame
-    except (PySparkException, Py4JJavaError):
-        return None
+    except AnalysisException as error:
+        if error.getCondition() in ABSENT:
+            return None
+        raise
 
 
 def read_available(loaders: list[Callable[[], DataFrame]],

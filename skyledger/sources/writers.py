@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.sources.readers import try_read
@@ -61,18 +61,31 @@ def new_months(incoming: DataFrame, loaded: DataFrame) -> DataFrame:
     return incoming.join(F.broadcast(months), MONTH, "left_anti")
 
 
-def newest_file_per_month(incoming: DataFrame) -> DataFrame:
-    """Where several files bring the same month, the rows of the newest of them.
+VERSIONED = [*MONTH, "version", "batch"]
 
-    Expects ``file_time`` and ``file_name`` columns and drops them. A file is one version of its
-    months. The map to the newest file has one row per calendar month and is broadcast.
+
+def add_versions(df: DataFrame, path: str, batch: int) -> None:
+    """Write rows (with a ``version`` column) by month, version and batch; a batch written again replaces itself.
+
+    Nothing that is loaded is read or removed, so months may arrive as any number of files in any number
+    of batches. ``read_months`` picks the version of each month.
+    """
+    (
+        df.withColumn("batch", F.lit(batch)).hint("rebalance", *MONTH, "version").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*VERSIONED).parquet(path)
+    )
+
+
+def read_months(spark: SparkSession, path: str, keep: str = "newest") -> DataFrame:
+    """All rows of one version of each month: the ``newest`` (largest name) or the ``first`` that was loaded.
+
+    The choice needs one row per (month, version, batch), which are folder names; the months with their version are
+    broadcast, one short row per calendar month.
     """
-    newest = incoming.groupBy(*MONTH).agg(
-        F.max(F.struct("file_time", "file_name")).alias("_newest")
-    ).select(*MONTH, "_newest.file_time", "_newest.file_name")
-    return incoming.join(
-        F.broadcast(newest), [*MONTH, "file_time", "file_name"], "left_semi"
-    ).drop("file_time", "file_name")
+    versions = {"newest": F.max("version"), "first": F.min_by("version", F.struct("batch", "version"))}
+    rows = spark.read.option("basePath", path).parquet(path).withColumn("version", F.col("version").cast("string"))
+    chosen = rows.select(*VERSIONED).distinct().groupBy(*MONTH).agg(versions[keep].alias("version"))
+    return rows.join(F.broadcast(chosen), [*MONTH, "version"], "left_semi").drop("version", "batch")
 
 
 def append_new_months(incoming: DataFrame, path: str) -> None:

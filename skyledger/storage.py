@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset, a checkpoint folder given to the running context counts. Only a local
-    master may do without both: it gets a fresh folder of its own.
+    Where that is unset, a checkpoint folder given to the running context counts, and else a folder below the
+    warehouse, which all executors share too.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="skyledger-"))
-        folder = sc.getCheckpointDir()
-    return folder
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

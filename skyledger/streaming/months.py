@@ -6,44 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skyledger.sources.writers import append_new_months, newest_file_per_month, replace_months
+from skyledger.sources.writers import add_versions
 
+#: A drop folder names the version of all months in it.
+DROP = r"/drop=([^/]+)/"
 
-def watch_months(spark: SparkSession, folder: str, ddl: str, max_files: int | None = None) -> DataFrame:
-    """New CSV files of a folder (partition folders included), with the file they came from."""
+
+def watch_months(spark: SparkSession, folder: str, ddl: str, max_files: int | None = None, version: str = DROP) -> DataFrame:
+    """New CSV files of a folder (sub-folders included), with the ``version`` they belong to.
+
+    ``version`` is a pattern whose first group is cut from the file's path, such as a drop folder or a part of
+    the file name. Files without it are of one version, the empty one. ``max_files`` only sets how much is read at once.
+    """
     reader = spark.readStream.schema(ddl).option("header", True).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     frame = reader.option("pathGlobFilter", "*.csv").csv(folder)
     named = frame.toDF(*[c.lower() for c in frame.columns])
-    return named.select(
-        "*", F.col("_metadata.file_modification_time").alias("file_time"),
-        F.col("_metadata.file_path").alias("file_name"),
-    )
-
-
-def _run(frame: DataFrame, checkpoint: str, write) -> StreamingQuery:
-    return (
-        frame.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    return named.select("*", F.regexp_extract("_metadata.file_path", version, 1).alias("version"))
 
 
-def append_months(frame: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append months the target lacks.
+def load_months(frame: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Add every row to its month and version; a batch that is repeated after a failure replaces itself.
 
-    The checkpoint reads each file once. A batch that is repeated after a failure finds its months
-    loaded and adds nothing.
+    ``read_months`` then shows each month in its first version (months are appended once; later files
+    of that version still count) or in its newest one (a month dropped again replaces the earlier one, and late files of
+    older versions are ignored).
     """
-    return _run(
-        frame, checkpoint,
-        lambda batch, _: append_new_months(newest_file_per_month(batch), target),
-    )
-
-
-def upsert_months(frame: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """A month that is dropped again replaces its earlier version; repeating a batch is harmless."""
-    return _run(
-        frame, checkpoint,
-        lambda batch, _: replace_months(newest_file_per_month(batch), target),
+    return (
+        frame.writeStream.foreachBatch(lambda batch, number: add_versions(batch, target, number))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

@@ -31,12 +31,12 @@ def test_raw_files_to_forecast(spark, tmp_path):
     t = build(spark, raw, str(tmp_path / "out"), trees=2)
     assert t["merged_weather"].count() == 80 and t["climate_insights_long"].count() == 12
     rows = {r["id"]: r for r in t["silver"].collect()}
-    # one day of each place lacks humidity; the implausible monthly row wins its day and is dropped
-    assert len(rows) == 80 - 2 - 1 + 1
+    # one day of each place lacks humidity; the implausible monthly row does not win its day
+    assert len(rows) == 80 - 2 + 1
     assert rows["Cairo_2024-01-19"]["user"] == "unknown" and rows["Luxor_2024-01-20"]["comment"] == "a, b"
     assert rows["Cairo_2024-03-01"]["user"] == "bob" and rows["Cairo_2024-03-01"]["comment"] == "unknown"
     assert rows["Luxor_2024-01-02"]["condition"] == "unknown" and rows["Luxor_2024-01-02"]["high_temp_c"] is not None
-    assert t["fact_weather"].count() == 78 and t["fact_weather"].where("date_id is null").count() == 0
+    assert t["fact_weather"].count() == 79 and t["fact_weather"].where("date_id is null").count() == 0
     assert "user" not in t["ml_ready"].columns
     forecast = t["forecast"]
     assert forecast.count() == 360 and forecast.where("predicted_max_temp is null or predicted_condition is null").count() == 0
