@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -62,25 +63,63 @@ def parse_revision_json(payloads: DataFrame, payload: str = "payload") -> DataFr
     )
 
 
-# A comment, a script or style element as a whole, or one tag with its end mark, name and attributes.
-_TAG = re.compile(
-    r"""<!--.*?-->|<(script|style)\b.*?</\1\s*>|"""
-    r"""<(/?)([a-z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>""",
-    re.IGNORECASE | re.DOTALL,
-)
+_NAME = re.compile(r"<(/?)([a-z][^\s/>]*)", re.IGNORECASE)
+_STOP = re.compile("""[>"']""")
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script", "style")}
 _CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 
+def _tag_end(html: str, at: int) -> int:
+    """Where the tag around ``at`` closes, outside of quoted values; -1 if a quote is never closed."""
+    while stop := _STOP.search(html, at):
+        if stop[0] == ">":
+            return stop.start()
+        at = html.find(stop[0], stop.end()) + 1
+        if not at:
+            return -1
+    return -1
+
+
 def _tags(html: str) -> Iterator[tuple[str, bool, str, list[str]]]:
-    """The tags of a page, each as (text before it, whether it ends an element, name, classes)."""
-    at = 0
-    for tag in _TAG.finditer(html):
-        _, end, name, attributes = tag.groups("")
+    """The tags of a page, each as (text before it, whether it ends an element, name, classes); last the text after all tags.
+
+    Comments, scripts and styles are left out. One forward pass: an end that was once searched in vain is not searched
+    again, and after a quote that never closes, quotes are ignored, so broken pages take linear time too.
+    """
+    last, done, at, held = html.rfind(">"), 0, 0, []
+    missing: set[str] = set()
+    while -1 < (start := html.find("<", at)) < last:
+        at = start + 1
+        if html.startswith("<!--", start):
+            end = -1 if "-->" in missing else html.find("-->", start + 4)
+            if end < 0:
+                missing.add("-->")
+                continue
+            held.append(html[done:start])
+            done = at = end + 3
+            continue
+        tag = _NAME.match(html, start)
+        if not tag:
+            continue
+        name = tag[2].lower()
+        if name in _ENDS and not tag[1] and name not in missing:
+            if found := _ENDS[name].search(html, tag.end()):
+                held.append(html[done:start])
+                done = at = found.end()
+                continue
+            missing.add(name)
+        end = html.find(">", tag.end()) if "quote" in missing else _tag_end(html, tag.end())
+        if end < 0:
+            missing.add("quote")
+            end = html.find(">", tag.end())
+        attributes = html[tag.end():end]
         found = _CLASS.search(attributes) if attributes else None
         classes = found[found.lastindex].split() if found and found.lastindex else []
-        yield html[at:tag.start()], end == "/", name.lower(), classes
-        at = tag.end()
-    yield html[at:], False, "", []
+        held.append(html[done:start])
+        yield "".join(held), tag[1] == "/", name, classes
+        held, done = [], end + 1
+        at = done
+    yield "".join([*held, html[done:]]), False, "", []
 
 
 def _table_rows(html: str) -> list[list[str]]:
@@ -107,36 +146,44 @@ def _table_rows(html: str) -> list[list[str]]:
     return rows
 
 
-# The marked parts of a calendar cell.
-_CELL_PARTS = {("div", "phrase"): "phrase", ("span", "hi"): "hi", ("span", "low"): "low"}
+# The marked parts of a calendar cell and the elements they are read from.
+_CELL_PARTS = {"phrase": "div", "hi": "span", "low": "span"}
 
 
 def _calendar_days(html: str) -> list[dict[str, str]]:
-    """Each ``li`` of class ``calendar-day``: its marked parts, and the rest of its text as ``free``."""
-    cells: list[dict[str, str]] = []
+    """Each ``li`` of class ``calendar-day``: its marked parts, and the rest of its text as ``free``.
+
+    A part is the first element of its class and tag. Text of any other element of those classes belongs to none, so
+    a number in it is never taken for the day.
+    """
+    cells: list[dict[str, list[str]]] = []
     inside: list[tuple[str, str]] = []  # open elements of the cell, with the part their text belongs to
+    open_: Counter[str] = Counter()
     for text, ends, name, classes in _tags(html):
         if inside and text:
-            cells[-1][inside[-1][1]] += text
+            cells[-1][inside[-1][1]].append(text)
         if not name or not (inside or classes):
             continue
         if ends:
-            if inside and inside[-1][0] == name:
-                inside.pop()
-            elif any(tag == name for tag, _ in inside):
-                while inside.pop()[0] != name:
-                    pass
+            while open_[name]:
+                closed = inside.pop()[0]
+                open_[closed] -= 1
+                if closed == name:
+                    break
         elif name == "li" and any("calendar-day" in c for c in classes):
-            cells.append({"free": ""})
-            inside = [(name, "free")]
+            cells.append({"free": [], "": []})
+            inside, open_ = [(name, "free")], Counter([name])
         elif inside:
             part = inside[-1][1]
-            for marked in classes:
-                found = _CELL_PARTS.get((name, marked))
-                if found and found not in cells[-1]:
-                    part, cells[-1][found] = found, ""
+            for marked in _CELL_PARTS.keys() & set(classes):
+                first = _CELL_PARTS[marked] == name and marked not in cells[-1]
+                part = marked if first else ""
+                if first:
+                    cells[-1][marked] = []
+                    break
             inside.append((name, part))
-    return [{part: unescape(text) for part, text in cell.items()} for cell in cells]
+            open_[name] += 1
+    return [{part: unescape("".join(text)) for part, text in cell.items() if part} for cell in cells]
 
 
 def parse_html_table(pages: DataFrame) -> DataFrame:
@@ -164,9 +211,17 @@ def parse_html_table(pages: DataFrame) -> DataFrame:
     )
 
 
-def table_columns(rows: DataFrame, width: int) -> DataFrame:
-    """Cells as ``Column_0 .. Column_{width-1}``; short rows end in nulls."""
-    return rows.select(
+def table_columns(rows: DataFrame, width: int | None = None) -> DataFrame:
+    """Cells as ``Column_0``, ``Column_1`` and so on; short rows end in nulls.
+
+    Without ``width`` the longest row decides, which takes a count over ``rows``. A row with more cells than a given
+    ``width`` is an error: no cell is left out.
+    """
+    if width is None:
+        width = rows.agg(F.max(F.size("cells"))).first()[0] or 0
+    fits = F.when(F.size("cells") <= width, F.col("cells")).otherwise(
+        F.raise_error(F.lit(f"a row has more than {width} cells")).cast("array<string>"))
+    return rows.withColumn("cells", fits).select(
         "page_id", "row_num", *[F.get("cells", F.lit(i)).alias(f"Column_{i}") for i in range(width)],
         "source",
     )

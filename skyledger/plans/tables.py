@@ -120,13 +120,14 @@ def pages_with_table(spark, sf):
         text("url"), F.lit("</a></td></tr><tr><td>size</td><td>\n<b>"), F.length("html").cast("string"),
         F.lit("</b> chars</td></tr></table><article>"))
     at = F.instr("html", "<article>")
-    html = F.concat(F.substring("html", F.lit(1), at - 1), row,
-                    F.substring("html", at + len("<article>"), F.length("html")))
-    return b.table(spark, sf, "pages").where(at > 0).select("page_id", html.alias("html"))
+    html = F.when(at > 0, F.concat(F.substring("html", F.lit(1), at - 1), row,
+                                   F.substring("html", at + len("<article>"), F.length("html")))
+                  ).otherwise(F.concat(row, "html"))
+    return b.table(spark, sf, "pages").select("page_id", html.alias("html"))
 
 
 def parse_html_table(spark, sf):
-    return extract.table_columns(extract.parse_html_table(pages_with_table(spark, sf)), 2)
+    return extract.table_columns(staged(extract.parse_html_table(pages_with_table(spark, sf)), "rows"))
 
 
 def calendar_pages(spark, sf):
@@ -156,9 +157,7 @@ def calendar_pages(spark, sf):
                   '<span class="hi">50</span><span class="low">40</span></li>')
     return (
         cells.groupBy("governorate", F.year(day).alias("year"), F.month(day).alias("month"))
-        .agg(F.concat(F.lit("<html><ul>"), before, body, after, F.lit("</ul></html>")).alias("html"),
-             F.count_if(F.col("condition") != "5-LOW").alias("days"))
-        .where(F.col("days") > 3)
+        .agg(F.concat(F.lit("<html><ul>"), before, body, after, F.lit("</ul></html>")).alias("html"))
         .select(F.concat_ws("/", "governorate", F.col("year").cast("string"), F.col("month").cast("string")).alias("page_id"),
                 "governorate", "year", "month", "html"))
 
@@ -273,8 +272,8 @@ RAW_TEXT = """CAST(date AS VARCHAR) AS "Date", CAST(weather_code AS VARCHAR) AS
   CAST(avg_max_temp AS VARCHAR) AS "Max_Temp", CAST(avg_min_temp AS VARCHAR) AS "Min_Temp",
   CAST(avg_humidity AS VARCHAR) AS "Avg_Humidity", source AS "Source\""""
 CELSIUS = "round((CAST({} AS INTEGER) - 32) * 5 / 9::DOUBLE, 1)"
-CALENDAR_PAGES = """pages_of AS (SELECT governorate, year(weather_date) AS y, month(weather_date) AS m FROM calendar
-  WHERE condition <> '5-LOW' GROUP BY ALL HAVING count(*) > 3)"""
+CALENDAR_PAGES = """pages_of AS (SELECT governorate, year(weather_date) AS y, month(weather_date) AS m,
+  count(*) FILTER (condition <> '5-LOW') AS shown FROM calendar GROUP BY ALL)"""
 
 SQL = {
     "scan_csv_history": with_views(f"""SELECT governorate AS "Governorate", {RAW_TEXT} FROM reports""", "reports"),
@@ -296,9 +295,9 @@ UNION ALL SELECT governorate || '_' || strftime(weather_date, '%Y-%m-%d'), gover
     "parse_revision_json": f"""SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, CAST(user_id AS VARCHAR) AS "user",
   CASE WHEN n = 0 THEN event_type ELSE '' END AS comment, '{extract.REVISION_SOURCE}' AS source FROM events, range(0, 2) r(n)""",
     "parse_html_table": f"""SELECT page_id, 1::INTEGER AS row_num, 'url' AS "Column_0", url AS "Column_1", '{extract.TABLE_SOURCE}' AS source
-  FROM pages WHERE contains(html, '<article>')
+  FROM pages WHERE html IS NOT NULL
 UNION ALL SELECT page_id, 2, 'size', CAST(length(html) AS VARCHAR) || ' chars', '{extract.TABLE_SOURCE}' FROM pages
-  WHERE contains(html, '<article>')""",
+  WHERE html IS NOT NULL""",
     "parse_calendar_cells": with_views(f""", {CALENDAR_PAGES}
 SELECT governorate || '/' || y || '/' || m AS page_id, CAST(day(weather_date) AS INTEGER) AS day, condition,
   {CELSIUS.format('high_temp_c')} AS high_c, {CELSIUS.format('-low_temp_c')} AS low_c
@@ -310,7 +309,11 @@ FROM pages_of, (VALUES (30), (31), (1)) v(d)""", "calendar"),
 SELECT governorate, condition, {CELSIUS.format('high_temp_c')} AS high_temp_c,
   {CELSIUS.format('-low_temp_c')} AS low_temp_c, weather_date AS date
 FROM pages_of p JOIN calendar c USING (governorate)
-WHERE year(weather_date) = y AND month(weather_date) = m AND condition <> '5-LOW'""", "calendar"),
+WHERE year(weather_date) = y AND month(weather_date) = m AND condition <> '5-LOW' AND shown > 2
+UNION ALL
+-- with one or two days of its own, the two days before are the longest run of a page
+SELECT governorate, 'Edge', 10.0::DOUBLE, 4.4::DOUBLE, make_date(y, m, d) FROM pages_of, (VALUES (30), (31)) v(d)
+WHERE shown <= 2 AND d <= day(last_day(make_date(y, m, 1)))""", "calendar"),
     "sink_parquet_overwrite": with_views("SELECT * FROM archive", "archive"),
     "sink_csv_overwrite": with_views("""SELECT governorate, CAST(weather_date AS VARCHAR) AS weather_date,
   CAST(weather_code AS VARCHAR) AS weather_code, CAST(max_temp AS VARCHAR) AS max_temp, CAST(min_temp AS VARCHAR) AS min_temp,

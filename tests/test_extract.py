@@ -1,7 +1,9 @@
 """Payload and page extraction on literal documents."""
 
+import time
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import extract
@@ -68,6 +70,38 @@ def test_calendar_cells(spark):
     assert [tuple(r) for r in rows] == [(1, "Sunny", 35.0, -20.0), (4, "Sunny", None, -20.0)]
 
 
+def test_marked_elements_never_give_the_day(spark):
+    extra = cell(4).replace('<div class="date">', '<span class="phrase">7 x</span><div class="hi">88</div><b class="low">9</b><div class="date">')
+    df = spark.createDataFrame([("p", page([extra, cell(5)]))], "page_id string, html string")
+    assert [r.day for r in extract.parse_calendar_cells(df).collect()] == [4, 5]
+
+
+@pytest.mark.parametrize("text", [
+    "<a ", "<script>", "<!--", "<a '\"", "<a \">\"", "<b>", "</i>", "<li class='calendar-day'><b>", "<a<a ", "<table class=wikitable><tr><td>"])
+@pytest.mark.parametrize("tail", ["", ">", "'>"])
+def test_broken_pages_take_linear_time(text, tail):
+    html = text * (1_000_000 // len(text)) + tail
+    start = time.perf_counter()
+    extract._calendar_days(html)
+    extract._table_rows(html)
+    assert time.perf_counter() - start < 6
+
+
+def test_comments_and_scripts_in_cells(spark):
+    html = '<table class="wikitable"><tr><td>h</td></tr><tr><td>a<!-- x > -->b<script>"</td>"</script>c</td><td title="x > y">d</td></tr></table>'
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert extract.parse_html_table(df).first()["cells"] == ["abc", "d"]
+
+
+def test_no_cell_is_cut(spark):
+    rows = spark.createDataFrame([(1, 1, ["a", "b", "c"], "s"), (1, 2, ["d"], "s")], "page_id int, row_num int, cells array<string>, source string")
+    wide = extract.table_columns(rows)
+    assert wide.columns == ["page_id", "row_num", "Column_0", "Column_1", "Column_2", "source"]
+    assert values(wide.select("Column_0", "Column_2")) == [("a", "c"), ("d", None)]
+    with pytest.raises(Exception, match="more than 2 cells"):
+        extract.table_columns(rows, 2).collect()
+
+
 def test_calendar_month_is_the_longest_run(spark):
     feb = page([cell(30), cell(31), *[cell(d) for d in range(1, 31)], cell(1), cell(2)])
     again = page([cell(d, phrase="Late") for d in range(1, 4)])
