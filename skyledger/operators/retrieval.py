@@ -8,35 +8,42 @@ from pyspark.sql import functions as F
 from skyledger.functions.text import date_in_text
 from skyledger.operators.asof import with_nearest_date
 from skyledger.operators.ranking import top_per_key
+from skyledger.storage import staged
 
+# The wording of answers, and the rows an answer shows.
 NO_MATCH = "No matching data found for your query."
+NO_DATA, NOT_LOADED = "No data available.", "No data loaded."
+DEFAULT_SUGGESTION = "What data is available?"
 ROWS_PER_ANSWER = 5
+#: Leading characters of a name by which texts find it.
+HEAD = 4
 
 
 def places_in_text(questions: DataFrame, places: DataFrame, name: str = "asked_place",
                    text: str = "question") -> DataFrame:
     """Adds the alphabetically first known place whose name occurs in the text, in any case.
 
-    Each distinct text is cut into its pieces of the lengths place names have, and pieces meet
-    names in an equality join. The work grows with the text, not with texts times places, and a
-    text that is asked over and over is cut once.
+    Each distinct text gets a number. Its distinct pieces of up to ``HEAD`` characters travel with that number,
+    never with the text, and meet the heads of names in an equality join; the names found are then looked for
+    in the text itself. The work grows with the text, not with its square or with texts times places.
     """
-    names = (
-        places.select(F.col("governorate").alias(name), F.lower("governorate").alias("_piece"))
-        .where(F.length("_piece") > 0).distinct()
-    )
-    lengths = names.agg(F.collect_set(F.length("_piece"))).scalar()
-    sized = (
-        questions.select(text).distinct()
-        .select(text, F.lower(text).alias("_text"), lengths.alias("_lengths"))
-        .select(text, "_text", F.explode("_lengths").alias("_n"))
-        .where(F.length("_text") >= F.col("_n"))
-    )
-    starts = F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1))
-    pieces = sized.select(text, "_text", "_n", starts.alias("_at")).select(
-        text, F.substring("_text", F.col("_at"), F.col("_n")).alias("_piece")
-    )
-    found = pieces.join(names, "_piece").groupBy(text).agg(F.min(name).alias(name))
+    names = staged(
+        places.select(F.col("governorate").alias("_name"), F.lower("governorate").alias("_lower"))
+        .where(F.length("_lower") > 0).distinct().withColumn("_head", F.substring("_lower", 1, HEAD)), "names")
+    sizes = names.agg(F.collect_set(F.length("_head"))).scalar()
+    texts = staged(questions.select(text).where(F.col(text).isNotNull()).distinct().withColumn(
+        "_id", F.monotonically_increasing_id()), "texts")
+    lettered = texts.select("_id", F.regexp_extract_all(F.lower(text), F.lit("(?s)."), F.lit(0)).alias("_chars"), sizes.alias("_sizes"))
+
+    def run_at(i: Column, size: Column) -> Column:
+        return F.array_join(F.slice("_chars", i, size), "")
+
+    runs = lettered.select("_id", "_chars", F.explode("_sizes").alias("_size")).where(F.size("_chars") >= F.col("_size"))
+    pieces = runs.select("_id", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.size("_chars") - F.col("_size") + 1), lambda i: run_at(i, F.col("_size"))))).alias("_head"))
+    likely = pieces.join(names, "_head").groupBy("_id").agg(F.collect_set(F.struct("_name", "_lower")).alias("_likely"))
+    found = texts.join(likely, "_id").select(text, F.array_min(F.transform(
+        F.filter("_likely", lambda x: F.contains(F.lower(text), x["_lower"])), lambda x: x["_name"])).alias(name))
     return questions.join(found, text, "left")
 
 
@@ -56,13 +63,21 @@ def with_default_date(asked: DataFrame, table: DataFrame) -> DataFrame:
     ).drop("_latest")
 
 
-def matching_rows(asked: DataFrame, table: DataFrame) -> DataFrame:
-    """Every table row that meets the predicates a question has (day, place, or both)."""
-    ready = with_default_date(asked, table).withColumn(
-        "date", F.coalesce("asked_date", "default_date")
-    ).select("question_id", "asked_place", "date")
-    placed = ready.where(F.col("asked_place").isNotNull()).withColumnRenamed("asked_place", "governorate")
-    anywhere = ready.where(F.col("asked_place").isNull()).drop("asked_place")
+def question_keys(asked: DataFrame, table: DataFrame) -> DataFrame:
+    """``question_id, asked_place, date``: what each question looks up; a null place stands for any."""
+    return with_default_date(asked, table).select(
+        "question_id", "asked_place", F.coalesce("asked_date", "default_date").alias("date"))
+
+
+def matching_rows(keys: DataFrame, table: DataFrame) -> DataFrame:
+    """Every table row that meets a key (day, place, or both), once for each distinct key.
+
+    Questions that ask the same share the rows: ``question_keys`` leads from a question to its key, so
+    the output grows with the table, not with questions times places.
+    """
+    distinct = keys.select("asked_place", "date").where("date IS NOT NULL").distinct()
+    placed = distinct.where("asked_place IS NOT NULL").withColumn("governorate", F.col("asked_place"))
+    anywhere = distinct.where("asked_place IS NULL")
     return placed.join(table, ["governorate", "date"]).unionByName(anywhere.join(table, "date"))
 
 
@@ -97,15 +112,20 @@ def retrieve_context(questions: DataFrame, table: DataFrame, today: Column) -> D
     """``question_id, context, trace`` for every question.
 
     A day nobody has data for is replaced by the closest day of the whole table; so is a day the
-    asked place has no row on, which then still finds nothing. Contexts are made once per (place,
-    day) and once per day, so a question is one lookup and never meets more than one row.
+    asked place has no row on, which then still finds nothing. Contexts are made once per asked (place,
+    day) and asked day, so a question is one lookup and never meets more than one row. An empty table has an answer
+    of its own.
     """
     asked = understand(questions, table.select("governorate"), today)
-    ready = with_nearest_date(with_default_date(asked, table), table).withColumn(
+    ready = staged(with_nearest_date(with_default_date(asked, table), table).withColumn(
         "_day", F.coalesce("nearest_date", "default_date")
-    )
-    of_cell = format_context(table, ["governorate", "date"])
-    of_day = format_context(table, ["date"]).withColumn("governorate", F.lit(None).cast("string"))
+    ), "ready")
+    # only what somebody asks for is put into words
+    keys = ready.select(F.col("asked_place").alias("governorate"), F.col("_day").alias("date")).distinct()
+    of_cell = format_context(table.join(keys, ["governorate", "date"], "left_semi"), ["governorate", "date"])
+    days = keys.where("governorate IS NULL").select("date")
+    of_day = format_context(table.join(days, "date", "left_semi"), ["date"]).withColumn(
+        "governorate", F.lit(None).cast("string"))
     contexts = of_cell.unionByName(of_day).select(
         F.col("governorate").alias("_place"), F.col("date").alias("_found_day"), "context"
     )
@@ -131,8 +151,10 @@ def retrieve_context(questions: DataFrame, table: DataFrame, today: Column) -> D
                F.concat(F.lit("Closest available date: "), F.col("nearest_date").cast("string"),
                         F.lit(" (requested: "), F.col("asked_date").cast("string"), F.lit(")"))),
     )
+    loaded = table.agg(F.count(F.lit(1)) > 0).scalar()
     return found.select(
-        "question_id", F.coalesce("context", F.lit(NO_MATCH)).alias("context"), trace.alias("trace")
+        "question_id", F.when(loaded, F.coalesce("context", F.lit(NO_MATCH))).otherwise(NO_DATA).alias("context"),
+        F.when(loaded, trace).otherwise(NOT_LOADED).alias("trace"),
     )
 
 
@@ -157,15 +179,19 @@ def known_places(table: DataFrame) -> DataFrame:
 
 
 def suggestions(table: DataFrame, home: str = "Cairo", other: str = "Alexandria") -> DataFrame:
-    """Three example questions about the latest and the hottest day, as one row."""
+    """Three example questions about the latest and the hottest day, as one row; one question if the table is empty.
+
+    A table without any known maximum has no hottest day and gives the other two.
+    """
     latest = table.agg(F.max("date")).scalar().cast("string")
-    return hottest_row(table).select(
-        F.array(
-            F.concat(F.lit(f"What are the weather conditions in {home} on "), latest,
-                     F.lit("? Give me health advice.")),
-            F.concat(F.lit("The hottest recorded day was "), F.col("date").cast("string"),
-                     F.lit(" in "), "governorate", F.lit(" ("), F.col("avg_max_temp").cast("string"),
-                     F.lit("°C). What precautions should I take?")),
-            F.concat(F.lit(f"Compare weather between {other} and {home} on "), latest, F.lit(".")),
-        ).alias("suggestions")
+    best = hottest_row(table).select(F.concat(
+        F.lit("The hottest recorded day was "), F.col("date").cast("string"), F.lit(" in "), "governorate",
+        F.lit(" ("), F.col("avg_max_temp").cast("string"), F.lit("°C). What precautions should I take?"))
+        .alias("question")).agg(F.max("question").alias("hottest"))
+    three = F.array(
+        F.concat(F.lit(f"What are the weather conditions in {home} on "), latest, F.lit("? Give me health advice.")),
+        F.col("hottest"),
+        F.concat(F.lit(f"Compare weather between {other} and {home} on "), latest, F.lit(".")),
     )
+    return best.select(F.when(latest.isNull(), F.array(F.lit(DEFAULT_SUGGESTION))).otherwise(
+        F.array_compact(three)).alias("suggestions"))

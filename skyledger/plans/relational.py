@@ -130,7 +130,7 @@ def filter_optional(spark, sf):
     table = staged(b.serving(spark, sf), "serving")
     questions = staged(b.questions(spark, sf), "questions")
     asked = retrieval.understand(questions, table.select("governorate"), b.today())
-    return retrieval.matching_rows(staged(asked, "asked"), table)
+    return retrieval.matching_rows(staged(retrieval.question_keys(asked, table), "keys"), table)
 
 
 # ---- joins -------------------------------------------------------------------------------------
@@ -394,8 +394,9 @@ SQL = {
   CAST(day(o_orderdate) + CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 0 END AS INTEGER) AS day FROM orders)
 WHERE day BETWEEN 1 AND day(last_day(make_date(year, month, 1)))""",
     "point_lookup": with_views(f"""SELECT * FROM serving WHERE governorate = 'NATION_7' AND date = DATE '{b.TODAY}'""", "serving"),
-    "filter_optional": with_views("""SELECT question_id, s.* FROM defaulted d JOIN serving s
-  ON s.date = coalesce(d.asked_date, d.default_date) AND (d.asked_place IS NULL OR d.asked_place = s.governorate)""",
+    "filter_optional": with_views("""SELECT d.asked_place, s.* FROM
+  (SELECT DISTINCT asked_place, coalesce(asked_date, default_date) AS day FROM defaulted) d JOIN serving s
+  ON s.date = d.day AND (d.asked_place IS NULL OR d.asked_place = s.governorate)""",
   "defaulted"),
     "join_full_outer_merge": with_views("SELECT * FROM merged", "merged"),
     "join_asof_backward": with_views("""SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS date, r.revision_timestamp, r."user", r.comment

@@ -1,11 +1,13 @@
 """Question answering over a small table."""
 
+import time
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import retrieval
+from tests.conftest import values
 
 TODAY = "2026-07-10"
 PLACES = ["Aswan", "Cairo", "Giza", "Luxor", "Minya", "New Cairo", "Qena"]
@@ -66,9 +68,30 @@ def test_optional_predicates(spark, table):
     q = spark.createDataFrame([(1, "Cairo on 9/7/2026"), (2, "9/7/2026"), (3, "Giza"), (4, "hi"), (5, "Giza 1/1/2020")],
                               "question_id int, question string")
     asked = retrieval.understand(q, table.select("governorate"), F.lit(TODAY).cast("date"))
-    n = {r["question_id"]: r["n"] for r in retrieval.matching_rows(asked, table).groupBy("question_id").agg(
-        F.count("*").alias("n")).collect()}
-    assert n == {1: 1, 2: 7, 3: 1, 4: 6}
+    keys = retrieval.question_keys(asked, table)
+    assert {r.question_id: (r.asked_place, str(r.date)) for r in keys.collect()} == {
+        1: ("Cairo", "2026-07-09"), 2: (None, "2026-07-09"), 3: ("Giza", "2026-07-10"), 4: (None, "2026-07-20"), 5: ("Giza", "2020-01-01")}
+    rows = retrieval.matching_rows(keys.union(keys), table).groupBy("asked_place", "date").count()
+    assert values(rows.selectExpr("asked_place", "cast(date as string)", "count")) == [
+        ("Cairo", "2026-07-09", 1), ("Giza", "2026-07-10", 1), (None, "2026-07-09", 7), (None, "2026-07-20", 6)]
+
+
+def test_empty_table(spark, table):
+    empty = table.limit(0)
+    assert ask(spark, empty, "Cairo on 9/7/2026", "hello") == [("No data available.", "No data loaded.")] * 2
+    assert retrieval.suggestions(empty).first()["suggestions"] == ["What data is available?"]
+
+
+def test_long_texts_take_linear_time(spark, table):
+    def seconds(n):
+        text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(n)) + " giza"
+        q = spark.createDataFrame([(1, text)], "question_id int, question string")
+        start = time.perf_counter()
+        assert retrieval.places_in_text(q, table.select("governorate")).first()["asked_place"] == "Giza"
+        return time.perf_counter() - start
+
+    seconds(4_000)
+    assert seconds(160_000) < 10 * max(seconds(16_000), 1)
 
 
 def test_lookups(spark, table):
