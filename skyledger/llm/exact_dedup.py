@@ -1,10 +1,10 @@
 """Exact duplicates by distributed most-significant-digit radix partitioning.
 
-A digit is a run of successive bytes; the runs grow fourfold from level to level (64, 256, 1024, ...), so the
+A digit is a run of successive bytes; the runs grow eightfold from level to level (64, 512, 4096, ...), so the
 longest text decides the number of levels only by its logarithm. On each level documents that share a group and
 the next digit form a new group. A group with one member is done. A group whose digit ended the text is
 done too: its members are equal, byte for byte, and no digest was needed. All other groups go on to
-the next level, and only their documents are read there.
+the next level with the rest of their texts; only they are read there.
 """
 
 from __future__ import annotations
@@ -12,72 +12,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, lower_ascii, without
+from .common import Stage, lower_ascii
 
-FIRST, GROWTH = 64, 4
+FIRST, GROWTH = 64, 8
 
 
-def _digit(text: Column, start: int, width: int) -> Column:
-    return F.substring(text.cast("binary"), start, width)
+def _folded(digit: Column) -> Column:
+    """A digit with A-Z lower-cased. Bytes of letters beyond ASCII are never in that range, so this is safe byte by byte."""
+    return lower_ascii(F.decode(digit, "ISO-8859-1"))
 
 
-def exact_dedup(df: DataFrame, text: str = "text", rank: str = "doc_id", carry: list[str] | None = None,
-                normalise=lower_ascii) -> DataFrame:
+def exact_dedup(df: DataFrame, text: str = "text", rank: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
     """Rows of ``df`` with ``keep_id``, ``group_size`` and ``kept``.
 
-    Rows with equal normalised texts form a group; null counts as empty. The row with the largest ``rank``
+    Rows whose texts are equal but for the case of A-Z form a group; null counts as empty. The row with the largest ``rank``
     stays (``keep_id``; null only if the whole group has no rank). If that rank is repeated, as
     in repeated rows, one of them stays. ``carry`` names the columns to return (default all); columns of the
     operator's own names are replaced. An empty table gives an empty table.
 
-    Level 0 sends each document once to the group of its first 64 bytes; counts are combined before
-    the shuffle, and the join of documents with counts is one whose hot keys adaptive execution splits.
+    Level 0 sends each document once to the group of its first 64 bytes. Counts are combined before
+    the shuffle, and the join of documents with counts is one whose hot keys adaptive execution splits. The table
+    of shared digits grows with the documents, so it is never broadcast.
     """
     own = ("keep_id", "group_size", "kept")
     stage = Stage(df.sparkSession, "exact-dedup")
     carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in own]
     kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
-    rows = df.select(F.struct(*kept, F.lit(0).alias("_")).alias("row"), F.col(f"`{rank}`").alias("rank"),
-                     F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     named = [F.col(f"row.c{i}").alias(c) for i, c in enumerate(carry)]
+    inside = text in carry
+    rows = df.select(F.struct(*kept, F.lit(0).alias("_")).alias("row"), F.col(f"`{rank}`").alias("rank"),
+                     *([] if inside else [F.col(f"`{text}`").alias("text")]))
+    content = F.coalesce(F.col(f"row.c{carry.index(text)}") if inside else F.col("text"), F.lit("")).cast("binary")
 
     def result(part: DataFrame, keep: Column, size: Column, stays: Column) -> DataFrame:
         return part.select(*named, keep.alias("keep_id"), size.cast("long").alias("group_size"), stays.alias("kept"))
 
-    def groups(level: DataFrame, keys: list[str]) -> DataFrame:
-        found = level.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("size"), F.max("rank").alias("keep"),
-            *([F.min("uid").alias("name"), F.max(F.struct("rank", "uid")).alias("best")] if "uid" in level.columns else []))
-        return found.where("size > 1")
-
-    # Level 0: the digit itself names the group; the narrow side finds the groups, the wide one follows.
-    zero = rows.withColumn("digit", _digit(normalise(F.col("text")), 1, FIRST))
-    shared = stage.keep(groups(zero.select("digit", "rank"), ["digit"]).select("digit"), "groups0")
-    single = result(zero.select("row", "rank", "digit").join(shared, "digit", "left_anti"),
-                    F.col("rank"), F.lit(1), F.lit(True))
-    active = stage.keep(
-        zero.join(shared, "digit").select("row", "rank", F.col("text"), F.col("digit").alias("group"))
-        .withColumn("uid", F.monotonically_increasing_id()), "level0")
-    done, level, start, width = [single], 0, 1, FIRST
-    # The first digit is looked at again with the rows' numbers, which now name the groups.
-    active = active.withColumn("group", F.lit(0).cast("long"))
+    # Level 0: the narrow side finds the shared digits, the documents follow once.
+    zero = rows.withColumn("digit", _folded(F.substring(content, 1, FIRST)))
+    shared = zero.groupBy("digit").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # a digit is looked at again with the rows' numbers, which name the groups from then on
+    level0 = stage.keep(zero.join(shared.hint("merge"), "digit", "left").select(
+        "row", "rank", F.when(F.col("size").isNotNull(), content).alias("rest"), F.lit(0).cast("long").alias("group"),
+        F.monotonically_increasing_id().alias("uid")), "level0")
+    everything = result(level0.where("rest IS NULL"), F.col("rank"), F.lit(1), F.lit(True))
+    active, level, width = level0.where("rest IS NOT NULL"), 0, FIRST
     while not active.isEmpty():
-        cut = active.withColumn("digit", _digit(normalise(F.col("text")), start, width))
-        found = groups(cut.select("group", "digit", "rank", "uid"), ["group", "digit"])
-        joined = cut.join(found, ["group", "digit"], "left")
-        ended = F.octet_length("digit") < width
-        out = stage.keep(joined.where(F.col("size").isNull() | ended).select(
-            "row", "rank", "uid", "size", "keep", "best"), f"done{level}")
+        cut = active.withColumns({"raw": F.substring("rest", 1, width)})
+        cut = cut.withColumns({"digit": _folded(F.col("raw")), "ended": F.octet_length("raw") < width}).drop("raw")
+        found = cut.groupBy("group", "digit").agg(
+            F.count(F.lit(1)).alias("size"), F.max("rank").alias("keep"), F.min("uid").alias("name"),
+            F.max(F.struct("rank", "uid")).alias("best")).where("size > 1")
+        joined = cut.join(found.hint("merge"), ["group", "digit"], "left")
+        onward = F.col("size").isNotNull() & ~F.col("ended")
+        after = stage.keep(joined.select(
+            "row", "rank", "uid", "size", "keep", "best", F.col("name").alias("group"),
+            F.when(onward, F.substring("rest", width + 1, 2**31 - 1)).alias("rest")), f"level{level + 1}")
         alone = F.col("size").isNull()
-        done.append(result(out, F.when(alone, F.col("rank")).otherwise(F.col("keep")),
-                           F.coalesce("size", F.lit(1)), alone | (F.col("uid") == F.col("best.uid"))))
-        nxt = stage.keep(joined.where(F.col("size").isNotNull() & ~ended).select(
-            "row", "rank", "text", "uid", F.col("name").alias("group")), f"level{level + 1}")
-        stage.drop(f"level{level}")
-        active, level, start, width = nxt, level + 1, start + width, width * GROWTH
-    everything = done[0]
-    for part in done[1:]:
-        everything = everything.union(part)
+        everything = everything.union(result(
+            after.where("rest IS NULL"), F.when(alone, F.col("rank")).otherwise(F.col("keep")),
+            F.coalesce("size", F.lit(1)), alone | (F.col("uid") == F.col("best.uid"))))
+        active = after.where("rest IS NOT NULL").select("row", "rank", "uid", "group", "rest")
+        level, width = level + 1, width * GROWTH
     return everything
 
 
