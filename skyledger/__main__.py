@@ -18,11 +18,15 @@ def main() -> None:
         parser.add_argument(f"--{optional}")
     parser.add_argument("--out", required=True)
     parser.add_argument("--trees", type=int, default=TREES)
+    parser.add_argument("--source-order", nargs="+", help="sources, the one that wins a day first")
+    parser.add_argument("--alias", nargs="+", default=[], metavar="NAME=PLACE", help="other spellings of places")
+    parser.add_argument("--by-place-month", action="store_true", help="impute the forecast by means of place and month")
     args = vars(parser.parse_args())
     folders = ("calendar", "archive", "monthly", "normals", "revisions")
     raw = {name: args[name] for name in folders if args[name]}
     spark = SparkSession.builder.appName("skyledger").getOrCreate()
-    build(spark, raw, args["out"].rstrip("/"), args["trees"], args["place"])
+    build(spark, raw, args["out"].rstrip("/"), args["trees"], args["place"], args["source_order"],
+          dict(a.split("=", 1) for a in args["alias"]), args["by_place_month"])
     spark.stop()
 
 

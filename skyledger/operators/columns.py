@@ -39,6 +39,14 @@ def canonical_names(columns: list[str]) -> dict[str, str]:
     return names
 
 
+def rename_places(df: DataFrame, aliases: dict[str, str] | None, column: str = "governorate") -> DataFrame:
+    """Alternative place spellings become the one used elsewhere; other places stay."""
+    if not aliases:
+        return df
+    known = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    return df.withColumn(column, F.coalesce(F.try_element_at(known, F.col(column)), F.col(column)))
+
+
 def standardize(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
     """Any weather-like frame in canonical names and types, in one projection.
 

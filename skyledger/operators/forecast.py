@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,30 +24,42 @@ class Models:
     condition: PipelineModel | None
 
 
-def _pipeline(features: list[str], estimator) -> Pipeline:
-    gather = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[gather, estimator.setFeaturesCol("features")])
+def _fit(rows: DataFrame, estimator) -> PipelineModel:
+    """Missing features become their training mean, in training and in prediction, so no row is left out.
+
+    A feature without any value is not used.
+    """
+    known = rows.agg(*[F.count(c).alias(c) for c in feature_names(rows)]).first().asDict()
+    features = [c for c, n in known.items() if n]
+    filled = [f"_filled_{c}" for c in features]
+    stages = [Imputer(inputCols=features, outputCols=filled, strategy="mean"),
+              VectorAssembler(inputCols=filled, outputCol="features"), estimator.setFeaturesCol("features")]
+    return Pipeline(stages=stages).fit(rows)
+
+
+def score(model: PipelineModel, rows: DataFrame, output: str) -> DataFrame:
+    """``rows`` with the prediction, without the model's working columns."""
+    return model.transform(rows).select(*rows.columns, output)
 
 
 def train_regressor(train: DataFrame, target: str, output: str, trees: int = TREES) -> PipelineModel:
-    known = train.where(F.col(target).isNotNull())
-    return _pipeline(
-        feature_names(train),
+    return _fit(
+        train.where(F.col(target).isNotNull()),
         GBTRegressor(labelCol=target, predictionCol=output, maxIter=trees, stepSize=LEARNING_RATE,
                      maxDepth=DEPTH, seed=SEED),
-    ).fit(known)
+    )
 
 
 def train_classifier(train: DataFrame, trees: int = TREES) -> PipelineModel | None:
     """Condition model; none where the rows carry no condition codes."""
     if "condition_encoded" not in train.columns:
         return None
-    return _pipeline(
-        feature_names(train),
+    return _fit(
+        train,
         RandomForestClassifier(labelCol="condition_encoded", predictionCol="_condition_code",
                                probabilityCol="_probability", rawPredictionCol="_raw",
                                numTrees=trees, maxDepth=DEPTH, seed=SEED),
-    ).fit(train)
+    )
 
 
 def train_models(train: DataFrame, trees: int = TREES) -> Models:
@@ -62,14 +74,11 @@ def train_models(train: DataFrame, trees: int = TREES) -> Models:
 def predict(models: Models, rows: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Adds the predictions; condition codes are turned back by ``labels(condition, code)``."""
     kept = rows.columns
-    scored = models.high.transform(rows).drop("features")
-    scored = models.low.transform(scored).drop("features")
+    scored = score(models.low, score(models.high, rows, "predicted_max_temp"), "predicted_min_temp")
     out = kept + ["predicted_max_temp", "predicted_min_temp"]
     if models.condition is None or labels is None:
         return scored.select(out)
-    coded = models.condition.transform(scored).withColumn(
-        "_code", F.col("_condition_code").cast("int")
-    )
+    coded = score(models.condition, scored, "_condition_code").withColumn("_code", F.col("_condition_code").cast("int"))
     names = labels.select(
         F.col("condition").alias("predicted_condition"), F.col("condition_encoded").alias("_code")
     )
@@ -83,11 +92,11 @@ def condition_labels(prepared: DataFrame) -> DataFrame:
 
 
 def forecast(prepared: DataFrame, train: DataFrame, days: int = 180, place: str | None = None,
-             trees: int = TREES) -> DataFrame:
-    """Predictions for the days after the last observed one."""
+             trees: int = TREES, by_place_month: bool = False) -> DataFrame:
+    """Predictions for the days after the last observed one; ``by_place_month`` as in ``future_grid``."""
     models = train_models(train, trees)
     labels = condition_labels(prepared) if models.condition is not None else None
-    return predict(models, future_grid(prepared, days, place), labels)
+    return predict(models, future_grid(prepared, days, place, by_place_month), labels)
 
 
 def holdout_metrics(scored: DataFrame, train: DataFrame) -> DataFrame:

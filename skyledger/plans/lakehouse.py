@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import asof, cleaning, features, forecast, normals, star
-from skyledger.operators.columns import standardize, union_all
+from skyledger.operators.columns import rename_places, standardize, union_all
 from skyledger.operators.merge import merge_sources
 from skyledger.schemas import ARCHIVE_STAGING, CALENDAR_STAGING, NORMALS_STAGING, REVISIONS
 from skyledger.sources import readers, writers
@@ -53,12 +53,15 @@ def gold(silver_table: DataFrame, folder: str, regions: dict[str, str] = star.RE
 
 
 def build(spark: SparkSession, raw: dict[str, str], out: str, trees: int = forecast.TREES,
-          place: str | None = None, source_order: list[str] | None = None) -> dict[str, DataFrame]:
+          place: str | None = None, source_order: list[str] | None = None,
+          aliases: dict[str, str] | None = None, by_place_month: bool = False) -> dict[str, DataFrame]:
     """All layers from raw files.
 
     ``raw`` names the folders ``calendar``, ``archive`` and, as far as they exist, ``monthly``,
     ``normals`` and ``revisions``. The result maps table names to written tables below ``out``.
-    ``source_order`` says which source wins a day that several have.
+    ``source_order`` says which source wins a day that several have; ``aliases`` maps other spellings of
+    places to the one to use, before sources are merged; ``by_place_month`` imputes the forecast's measures locally.
+    Lines with a value that does not fit its type stay with a null there and are also listed in a ``rejected_`` table.
     """
     def write(df: DataFrame, name: str) -> DataFrame:
         writers.overwrite_parquet(df, f"{out}/{name}")
@@ -66,23 +69,27 @@ def build(spark: SparkSession, raw: dict[str, str], out: str, trees: int = forec
 
     def staging(name: str, ddl: str) -> DataFrame:
         # text is parsed once; the merge reads each source several times
-        return write(readers.read_typed_csv(spark, raw[name], ddl), f"staging/{name}")
-
-    tables = {"merged_weather": write(
-        merge_sources(staging("calendar", CALENDAR_STAGING), staging("archive", ARCHIVE_STAGING)), "merged_weather")}
+        parsed = readers.read_typed_csv(spark, raw[name], ddl, keep_corrupt=True, multi_line=name == "revisions")
+        kept = write(parsed, f"staging/{name}")
+        tables[f"rejected_{name}"] = kept.where("_corrupt_record IS NOT NULL").select("_corrupt_record")
+        return kept.drop("_corrupt_record")
+
+    tables: dict[str, DataFrame] = {}
+    sources = [rename_places(staging(n, ddl), aliases) for n, ddl in (("calendar", CALENDAR_STAGING), ("archive", ARCHIVE_STAGING))]
+    tables["merged_weather"] = write(merge_sources(*sources), "merged_weather")
     if "normals" in raw:
         tables["climate_insights"] = staging("normals", NORMALS_STAGING)
         tables["climate_insights_long"] = write(
             normals.unpivot_months(tables["climate_insights"]), "climate_insights_long")
     changes = spark.createDataFrame([], REVISIONS)
     if "revisions" in raw:
-        changes = write(readers.read_typed_csv(spark, raw["revisions"], REVISIONS), "revision_history")
-    monthly = readers.read_text_csv(spark, raw["monthly"]) if "monthly" in raw else None
+        changes = tables["revision_history"] = staging("revisions", REVISIONS)
+    monthly = standardize(readers.read_text_csv(spark, raw["monthly"]), aliases) if "monthly" in raw else None
     tables["silver"] = write(silver(bronze(tables["merged_weather"], monthly), changes, source_order), "silver")
     tables.update(gold(tables["silver"], f"{out}/gold"))
     prepared = write(features.prepare(tables["ml_ready"]), "prepared")
     marked = write(features.mark_split(prepared), "split")
-    predicted = forecast.forecast(prepared, marked.where("is_train").drop("is_train"), place=place, trees=trees)
+    predicted = forecast.forecast(prepared, marked.where("is_train").drop("is_train"), place=place, trees=trees, by_place_month=by_place_month)
     writers.overwrite_csv(predicted, f"{out}/forecast")
     tables["forecast"] = spark.read.schema(predicted.schema).option("header", True).csv(f"{out}/forecast")
     return tables

@@ -1,6 +1,7 @@
 """Registered queries: features, models, forecast.
 
-Model outputs have no SQL equivalent. The tree count is a parameter; these queries use few trees.
+Predicted values have no SQL equivalent. So the model queries return what SQL can state of them: the rows they must cover, whether
+each has its predictions, and whether the hold-out error is below that of a seasonal mean.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from skyledger.plans import bindings as b
 from skyledger.plans.bindings import with_views
 from skyledger.storage import staged
 
-TREES = 10
+TREES = forecast.TREES
 
 
 def prepared(spark, sf):
@@ -33,24 +34,35 @@ def ml_feature_select(spark, sf):
     return ready.select("id", *features.feature_names(ready))
 
 
+def scored(train, test):
+    """Hold-out rows with both regressors' predictions, as a stage table."""
+    high, low = features.target_names(train)
+    with_max = forecast.score(forecast.train_regressor(train, high, "predicted_max_temp", TREES), test, "predicted_max_temp")
+    return staged(forecast.score(forecast.train_regressor(train, low, "predicted_min_temp", TREES), with_max, "predicted_min_temp"), "scored")
+
+
 def ml_train_regressors(spark, sf):
-    """Mean hold-out prediction and error of both regressors per month."""
-    ready, train, test = split(spark, sf)
-    high, low = features.target_names(ready)
-    scored = forecast.train_regressor(train, high, "predicted_max_temp", TREES).transform(test).drop("features")
-    scored = forecast.train_regressor(train, low, "predicted_min_temp", TREES).transform(scored)
-    return scored.groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.avg("predicted_max_temp").alias("predicted_max_temp"), F.avg(high).alias("observed_max_temp"),
-        F.avg("predicted_min_temp").alias("predicted_min_temp"), F.avg(low).alias("observed_min_temp"))
+    """Hold-out rows per month, and those that have both predictions within the range of the observed values."""
+    _, train, test = split(spark, sf)
+    high, low = features.target_names(train)
+    bounds = staged(train.agg(*[f(c).alias(f"{f.__name__}_{i}") for i, c in enumerate((high, low)) for f in (F.min, F.max)]), "bounds")
+
+    def near(column, i):
+        spread = bounds.select(F.col(f"max_{i}") - F.col(f"min_{i}")).scalar()
+        return F.col(column).between(bounds.select(f"min_{i}").scalar() - spread, bounds.select(f"max_{i}").scalar() + spread)
+
+    sound = near("predicted_max_temp", 0) & near("predicted_min_temp", 1)
+    return scored(train, test).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(sound).alias("predicted"))
 
 
 def ml_train_classifier(spark, sf):
-    """Hold-out rows per observed and predicted condition code."""
-    _, train, test = split(spark, sf)
-    scored = forecast.train_classifier(train, TREES).transform(test)
-    return scored.groupBy("condition_encoded", F.col("_condition_code").cast("int").alias("predicted_code")).agg(
-        F.count(F.lit(1)).alias("rows"))
+    """Hold-out rows per observed condition, and those whose predicted condition is a known one."""
+    ready, train, test = split(spark, sf)
+    coded = forecast.score(forecast.train_classifier(train, TREES), test, "_condition_code")
+    known = forecast.condition_labels(ready).select(F.col("condition_encoded").cast("double").alias("_condition_code"), F.lit(True).alias("known"))
+    return coded.join(known, "_condition_code", "left").groupBy("condition_encoded").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("known").alias("decoded"))
 
 
 def ml_future_grid(spark, sf):
@@ -59,8 +71,13 @@ def ml_future_grid(spark, sf):
 
 
 def ml_predict_decode(spark, sf):
+    """Every place and day ahead, with whether both temperatures and a known condition are predicted."""
     ready, train, _ = split(spark, sf)
-    return forecast.forecast(ready, train, days=180, trees=TREES)
+    labels = forecast.condition_labels(ready).select(F.col("condition").alias("predicted_condition"), F.lit(True).alias("_known"))
+    ahead = forecast.forecast(ready, train, days=180, trees=TREES).join(labels, "predicted_condition", "left")
+    return ahead.select(
+        "governorate", "date", (F.col("predicted_max_temp").isNotNull() & F.col("predicted_min_temp").isNotNull()).alias("both_predicted"),
+        F.coalesce("_known", F.lit(False)).alias("condition_known"))
 
 
 def ml_target_fallback(spark, sf):
@@ -75,11 +92,11 @@ def ml_target_fallback(spark, sf):
 
 
 def ml_holdout_metrics(spark, sf):
+    """Hold-out rows with both temperatures, and whether the models' errors are below those of a seasonal mean."""
     _, train, test = split(spark, sf)
-    high, low = features.target_names(train)
-    scored = forecast.train_regressor(train, high, "predicted_max_temp", TREES).transform(test).drop("features")
-    scored = forecast.train_regressor(train, low, "predicted_min_temp", TREES).transform(scored)
-    return forecast.holdout_metrics(scored, train)
+    return forecast.holdout_metrics(scored(train, test), train).select(
+        "rows", (F.col("rmse_max") < F.col("seasonal_rmse_max")).alias("max_beats_seasonal"),
+        (F.col("rmse_min") < F.col("seasonal_rmse_min")).alias("min_beats_seasonal"))
 
 
 QUERIES = {
@@ -98,7 +115,9 @@ prepared AS (SELECT id, governorate, date, CAST(year(date) AS INTEGER) AS year,
   CAST(dense_rank() OVER (ORDER BY governorate) - 1 AS INTEGER) AS city_encoded,
   round(avg_max_temp - avg_min_temp, 2) AS temp_range,
   coalesce(std_min_temp, (SELECT round(avg(std_min_temp), 2) FROM kept)) AS std_min_temp,
-  coalesce(std_max_temp, (SELECT round(avg(std_max_temp), 2) FROM kept)) AS std_max_temp FROM kept)
+  coalesce(std_max_temp, (SELECT round(avg(std_max_temp), 2) FROM kept)) AS std_max_temp,
+  CAST(dense_rank() OVER (ORDER BY coalesce(condition, 'unknown')) - 1 AS INTEGER) AS condition_encoded,
+  row_number() OVER (ORDER BY date, governorate) > count(*) OVER () - ceil(0.2 * count(*) OVER ()) AS held FROM kept)
 """
 
 SQL = {
@@ -111,6 +130,15 @@ SELECT governorate, date, CAST(month(date) AS INTEGER) AS month, CAST(dayofyear(
   CAST(year(date) AS INTEGER) AS year, city_encoded, (SELECT round(avg(temp_range), 6) FROM prepared) AS temp_range,
   (SELECT round(avg(std_min_temp), 6) FROM prepared) AS std_min_temp,
   (SELECT round(avg(std_max_temp), 6) FROM prepared) AS std_max_temp FROM grid""", "merged"),
+    "ml_train_regressors": with_views(f"""{PREPARED} SELECT year, month, count(*) AS rows, count(*) AS predicted
+FROM prepared WHERE held GROUP BY year, month""", "merged"),
+    "ml_train_classifier": with_views(f"""{PREPARED} SELECT condition_encoded, count(*) AS rows, count(*) AS decoded
+FROM prepared WHERE held GROUP BY condition_encoded""", "merged"),
+    "ml_predict_decode": with_views(f"""{PREPARED} SELECT governorate,
+  CAST((SELECT max(date) FROM prepared) + CAST(n AS INTEGER) AS DATE) AS date, true AS both_predicted, true AS condition_known
+FROM (SELECT DISTINCT governorate FROM prepared), range(1, 181) r(n)""", "merged"),
+    "ml_holdout_metrics": with_views(f"""{PREPARED} SELECT count(*) AS rows, true AS max_beats_seasonal, true AS min_beats_seasonal
+FROM prepared WHERE held""", "merged"),
     "ml_target_fallback": with_views("""SELECT id, avg_max_temp AS target_max, avg_min_temp AS target_min,
   max_temp AS plain_target_max, min_temp AS plain_target_min FROM merged""", "merged"),
 }

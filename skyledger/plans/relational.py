@@ -139,6 +139,14 @@ def join_full_outer_merge(spark, sf):
     return plain(b.merged(spark, sf))
 
 
+def join_aliased_merge(spark, sf):
+    """The calendar spells some places its own way; aliases bring its rows back to those of the archive."""
+    own = F.when(F.length("governorate") % 2 == 0, F.concat(F.lit("Greater "), "governorate")).otherwise(F.col("governorate"))
+    names = [r[0] for r in b.table(spark, sf, "nation").select("n_name").collect()]  # 25 rows at any size
+    calendar = columns.rename_places(b.calendar(spark, sf).withColumn("governorate", own), {f"Greater {n}": n for n in names})
+    return plain(merge.merge_sources(calendar, b.archive(spark, sf)))
+
+
 def join_asof_backward(spark, sf):
     left = b.table(spark, sf, "events").select(
         "event_id", "user_id", F.col("ts").cast("date").alias("date"))
@@ -334,7 +342,7 @@ QUERIES = {
     "drop_null_core": drop_null_core, "filter_plausible": filter_plausible,
     "filter_date_not_null": filter_date_not_null, "filter_valid_day": filter_valid_day,
     "point_lookup": point_lookup, "filter_optional": filter_optional,
-    "join_full_outer_merge": join_full_outer_merge, "join_asof_backward": join_asof_backward,
+    "join_full_outer_merge": join_full_outer_merge, "join_aliased_merge": join_aliased_merge, "join_asof_backward": join_asof_backward,
     "join_lateral_top1": join_lateral_top1, "join_month_normals": join_month_normals,
     "join_star_dims": join_star_dims, "join_anti_loaded": join_anti_loaded,
     "join_cross_plan": join_cross_plan, "join_region_map": join_region_map,
@@ -399,6 +407,7 @@ WHERE day BETWEEN 1 AND day(last_day(make_date(year, month, 1)))""",
   ON s.date = d.day AND (d.asked_place IS NULL OR d.asked_place = s.governorate)""",
   "defaulted"),
     "join_full_outer_merge": with_views("SELECT * FROM merged", "merged"),
+    "join_aliased_merge": with_views("SELECT * FROM merged", "merged"),
     "join_asof_backward": with_views("""SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS date, r.revision_timestamp, r."user", r.comment
 FROM events e LEFT JOIN LATERAL (SELECT * FROM revisions v WHERE CAST(v.revision_timestamp AS DATE) <= CAST(e.ts AS DATE)
   ORDER BY v.revision_timestamp DESC, v."user", v.comment LIMIT 1) r ON TRUE""", "revisions"),

@@ -15,15 +15,17 @@ def read_text_csv(spark: SparkSession, path: str | list[str], pattern: str = "*.
     return spark.read.option("header", True).option("pathGlobFilter", pattern).csv(path)
 
 
-def read_typed_csv(spark: SparkSession, path: str, ddl: str, keep_corrupt: bool = False) -> DataFrame:
+def read_typed_csv(spark: SparkSession, path: str, ddl: str, keep_corrupt: bool = False,
+                   multi_line: bool = False) -> DataFrame:
     """Headered, quoted CSV straight into a declared schema.
 
-    A value that does not fit its type is null; ``keep_corrupt`` also keeps the line it came from.
+    A value that does not fit its type is null; ``keep_corrupt`` also keeps the line it came from. With ``multi_line``
+    quoted fields may hold line breaks, and a file is one task.
     """
     schema = f"{ddl}, _corrupt_record string" if keep_corrupt else ddl
     return (
         spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-        .option("enforceSchema", True).option("mode", "PERMISSIVE").csv(path)
+        .option("enforceSchema", True).option("mode", "PERMISSIVE").option("multiLine", multi_line).csv(path)
     )
 
 

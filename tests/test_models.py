@@ -34,15 +34,15 @@ def test_split_without_holdout(spark):
 
 def test_prepare_from_identifier_and_dirty_text(spark):
     df = spark.createDataFrame(
-        [("Cairo_2024-02-29", "9.10", "30.0", None), ("Luxor_2024-01-01", "7.65", "31.5", "Fog"),
-         ("Aswan_bad", None, "invalid", "Fog"), ("Aswan_2024-01-02", None, "invalid", "Dust")],
+        [("Siwa_2023-03-01", "11.4", "27.5", None), ("Tanta_2023-06-30", "8.25", "33.0", "Rain"),
+         ("Qena_soon", None, "n/a", "Rain"), ("Qena_2023-06-29", None, "n/a", "Haze")],
         "id string, temp_range string, max_temp string, condition string")
     out = features.prepare(df)
     rows = {r["city"]: r for r in out.collect()}
-    assert len(rows) == 3 and rows["Aswan"]["max_temp"] is None and rows["Cairo"]["temp_range"] == 9.1
-    assert [rows[c]["city_encoded"] for c in ("Aswan", "Cairo", "Luxor")] == [0, 1, 2]
-    assert [rows[c]["condition_encoded"] for c in ("Aswan", "Luxor", "Cairo")] == [0, 1, 2]
-    assert (rows["Cairo"]["month"], rows["Cairo"]["day_of_year"], rows["Cairo"]["year"]) == (2, 60, 2024)
+    assert len(rows) == 3 and rows["Qena"]["max_temp"] is None and rows["Siwa"]["temp_range"] == 11.4
+    assert [rows[c]["city_encoded"] for c in ("Qena", "Siwa", "Tanta")] == [0, 1, 2]
+    assert [rows[c]["condition_encoded"] for c in ("Qena", "Tanta", "Siwa")] == [0, 1, 2]
+    assert (rows["Siwa"]["month"], rows["Siwa"]["day_of_year"], rows["Siwa"]["year"]) == (3, 60, 2023)
     assert features.feature_names(out) == ["month", "day_of_year", "year", "city_encoded", "temp_range"]
 
 
@@ -90,6 +90,16 @@ def test_models_train_and_decode(spark):
     assert metrics["rows"] == 24 and metrics["rmse_max"] < metrics["seasonal_rmse_max"]
 
 
+def test_rows_with_missing_features_are_predicted(spark):
+    df = ready(spark).withColumns({
+        "temp_range": F.when(F.dayofmonth("date") % 3 != 0, F.col("temp_range")), "std_max_temp": F.lit(None).cast("double"),
+        "std_min_temp": F.when(F.col("city") == "Cairo", 1.5)})
+    models = forecast.train_models(df, trees=3)
+    out = forecast.predict(models, df, forecast.condition_labels(df))
+    assert out.count() == df.count() == 120
+    assert out.where("predicted_max_temp is null or predicted_min_temp is null or predicted_condition is null").count() == 0
+
+
 def test_no_classifier_without_condition(spark):
     df = ready(spark).drop("condition_encoded")
     models = forecast.train_models(df, trees=2)
