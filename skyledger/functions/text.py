@@ -24,7 +24,8 @@ DATE_SPELLINGS = [
     (r"(?U)\b(\d{1,2}-\d{1,2}-\d{4})\b", "d-M-yyyy"),
 ]
 
-ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
+# Arabic-Indic digits, then their eastern forms
+ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩" "۰۱۲۳۴۵۶۷۸۹"
 
 
 def relative_date(text: Column, today: Column) -> Column:
@@ -36,7 +37,7 @@ def relative_date(text: Column, today: Column) -> Column:
 
 def written_date(text: Column) -> Column:
     """First spelling that is a real calendar date."""
-    plain = F.translate(text, ARABIC_DIGITS, "0123456789")
+    plain = F.translate(text, ARABIC_DIGITS, "0123456789" * 2)
     return F.coalesce(
         *[
             F.try_to_date(F.nullif(F.regexp_extract(plain, pattern, 1), F.lit("")), fmt)

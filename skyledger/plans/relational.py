@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import weather
 from skyledger.functions.text import date_in_text
 from skyledger.operators import asof, cleaning, collect, columns, extract, merge, normals, ranking, retrieval, star
-from skyledger.operators.features import mark_split, sort_chronological
+from skyledger.operators.features import feature_means, mark_split, sort_chronological
 from skyledger.plans import bindings as b
 from skyledger.plans.bindings import plain, with_views
 from skyledger.schemas import MEAN_FILLED, ML_DROPPED
@@ -34,8 +34,8 @@ def raw_reports(spark, sf):
 
 
 def silver_table(spark, sf):
-    """Cleaned reports as a stage table: dimensions and fact all read it."""
-    return staged(cleaning.clean(b.reports(spark, sf), b.SOURCE_ORDER), "silver")
+    """Cleaned reports: a projection on the stage table of valid rows, which dimensions and fact all read."""
+    return cleaning.clean(b.reports(spark, sf), b.SOURCE_ORDER)
 
 
 def valid_reports(spark, sf):
@@ -212,7 +212,7 @@ def agg_column_means(spark, sf):
 def agg_mean_features(spark, sf):
     r = b.reports(spark, sf)
     ranged = r.withColumn("temp_range", weather.temp_range(F.col("avg_max_temp"), F.col("avg_min_temp")))
-    return cleaning.column_means(ranged, ["temp_range", "std_min_temp", "std_max_temp"]).select(
+    return feature_means(ranged).select(
         F.round("temp_range", 6).alias("temp_range"), F.round("std_min_temp", 6).alias("std_min_temp"),
         F.round("std_max_temp", 6).alias("std_max_temp"))
 
