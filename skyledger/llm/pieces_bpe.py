@@ -15,7 +15,7 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -28,8 +28,13 @@ from .common import without
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +(?=\n|$)|\n+| +")
 _MASK = (1 << 64) - 1
-#: Chunks that a Python worker remembers.
-REMEMBERED = 1 << 18
+#: Chunks that a Python worker remembers, over all of its tasks.
+REMEMBERED = 1 << 19
+#: Chunks longer than this are segmented one by one, others many at a time. Slots of the table of pairs.
+SHORT, SLOT_BITS = 48, 20
+#: Texts that a worker encodes together.
+ROWS = 256
+SLOTS = 1 << SLOT_BITS
 
 
 class Vocabulary:
@@ -48,18 +53,54 @@ class Vocabulary:
                 self.bytes[int(piece[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.plain[piece] = (i, -model.get_score(i))
-        self.byte_of = {i: b for b, i in enumerate(self.bytes)}
-        if len(self.byte_of) != 256:
+        self.spelled = [p.replace(SPACE, " ").encode() for p in self.pieces]
+        for b, i in enumerate(self.bytes):
+            self.spelled[i] = bytes([b])
+        self.encoders: dict[tuple, Encoder] = {}
+        self.merges: tuple[np.ndarray, np.ndarray] | None = None
+        if len(set(self.bytes)) != 256:
             raise ValueError("the model has no byte pieces, so decoding would lose characters")
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.plain):
             raise ValueError("a piece reaches over a space or line feed")
 
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hash table of the pairs of pieces that make a piece: keys (left * 2**20 + right, else -1) and the piece."""
+        if self.merges is None:
+            keys, made = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, np.int32)
+            for piece, (i, _) in self.plain.items():
+                for cut in range(1, len(piece)):
+                    a, b = self.plain.get(piece[:cut]), self.plain.get(piece[cut:])
+                    if a and b:
+                        key = a[0] << 20 | b[0]
+                        slot = (key * 0x9E3779B97F4A7C15 & _MASK) >> 64 - SLOT_BITS
+                        while keys[slot] >= 0:
+                            slot = (slot + 1) % SLOTS
+                        keys[slot], made[slot] = key, i
+            self.merges = keys, made
+        return self.merges
+
+    def encoder(self, dropout: float, seed: int, variants: int) -> Encoder:
+        """One encoder for each setting, kept as long as the worker that holds this vocabulary."""
+        key = dropout, seed, variants
+        if key not in self.encoders:
+            self.encoders[key] = Encoder(self, dropout, seed, variants)
+        return self.encoders[key]
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, variants: int):
         self.vocabulary, self.variants = vocabulary, variants
         self.seed, self.limit = seed & _MASK, int(dropout * (1 << 32))
-        self.segment = lru_cache(maxsize=REMEMBERED)(self._segment)
+        self.known: list[dict[str, bytes]] = [{} for _ in range(max(1, variants))]
+        self.symbol = {p: i for p, (i, _) in vocabulary.plain.items() if len(p) == 1}
+        self.score = np.full(len(vocabulary.pieces), np.inf)
+        for i, score in vocabulary.plain.values():
+            self.score[i] = score
+
+    def _key(self, chunk: str, variant: int) -> int:
+        return (self.seed * 0x9E3779B97F4A7C15 + variant * 0xC2B2AE3D27D4EB4F
+                + crc32(chunk.encode("utf-8", "surrogatepass")) * 0x165667B19E3779F9) & _MASK
 
     def _segment(self, chunk: str, variant: int) -> tuple[int, ...]:
         """Pieces of one chunk."""
@@ -69,7 +110,7 @@ class Encoder:
         size = len(parts)
         ends = list(range(1, size + 1))
         starts = list(range(-1, size - 1))
-        key = (self.seed * 0x9E3779B97F4A7C15 + variant * 0xC2B2AE3D27D4EB4F + 1) & _MASK
+        key = self._key(chunk, variant)
         agenda: list[tuple[float, int, int, int]] = []
 
         def offer(left: int, right: int) -> None:
@@ -81,8 +122,8 @@ class Encoder:
                 return
             if limit:
                 x = key ^ (left << 42 | right << 21 | ends[right])
-                x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _MASK
-                x = (x ^ x >> 27) * 0x94D049BB133111EB & _MASK
+                x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
+                x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
                 if x >> 32 < limit:
                     return
             heapq.heappush(agenda, (found[1], left, right, len(a) + len(b)))
@@ -115,38 +156,119 @@ class Encoder:
             at = ends[at]
         return tuple(out)
 
-    def encode(self, text: str, key: int) -> list[int]:
-        """Ids of a text; ``key`` stands for its row. The text is led by one space, as the model expects."""
-        segment, variants = self.segment, self.variants
-        out: list[int] = []
-        if not text:
-            return out
-        if self.limit and variants > 1:
-            x = key & _MASK
-            for chunk in _CHUNK.findall(" " + text):
-                x = (x * 0x5851F42D4C957F2D + 0x14057B7EF767814F) & _MASK
-                out.extend(segment(chunk, (x >> 33) % variants))
-        else:
-            for chunk in _CHUNK.findall(" " + text):
-                out.extend(segment(chunk, 0))
+    def _offers(self, keys: np.ndarray, left: np.ndarray, right: np.ndarray, spans: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Piece and score of each pair of symbols; the score is infinite where there is no piece or it is skipped."""
+        table, made = self.vocabulary.pairs()
+        asked = left.astype(np.int64) << 20 | right
+        slot = ((asked.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        piece = np.full(asked.shape, -1, np.int32)
+        waiting = np.flatnonzero((left >= 0) & (right >= 0))
+        while len(waiting):
+            there = table[slot[waiting]]
+            hit = there == asked[waiting]
+            piece[waiting[hit]] = made[slot[waiting[hit]]]
+            waiting = waiting[~hit & (there >= 0)]
+            slot[waiting] = (slot[waiting] + 1) % SLOTS
+        found = np.flatnonzero(piece >= 0)
+        score = np.full(asked.shape, np.inf)
+        if self.limit and len(found):
+            a, b, c = (x[found].astype(np.uint64) for x in spans)
+            x = keys[found] ^ (a << np.uint64(42) | b << np.uint64(21) | c)
+            for _ in range(2):
+                x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+            found = found[x >> np.uint64(32) >= np.uint64(self.limit)]
+        score[found] = self.score[piece[found]]
+        return piece, score
+
+    def _segment_many(self, chunks: list[str], variant: int) -> list[bytes]:
+        """Pieces of many short chunks of known characters: each step makes the best merge of every chunk at once."""
+        size = max(map(len, chunks))
+        lengths = np.array([len(c) for c in chunks])
+        symbols = np.full((len(chunks), size + 1), -1, np.int32)
+        symbols[np.arange(size + 1) < lengths[:, None]] = [self.symbol[c] for chunk in chunks for c in chunk.replace(" ", SPACE)]
+        starts = np.minimum(np.arange(size + 1), lengths[:, None])
+        keys = np.array([self._key(c, variant) for c in chunks], np.uint64)
+        piece, score = np.full((len(chunks), size), -1, np.int32), np.full((len(chunks), size), np.inf)
+        row, at = np.nonzero(np.arange(size) + 1 < lengths[:, None])
+        end = np.minimum(at + 2, lengths[row])
+        piece[row, at], score[row, at] = self._offers(keys[row], symbols[row, at], symbols[row, at + 1], (at, at + 1, end))
+        done: list[bytes | None] = [None] * len(chunks)
+        number, count = np.arange(len(chunks)), lengths.copy()
+        while len(number):
+            best = score.argmin(axis=1)
+            lines = np.arange(len(number))
+            live = np.isfinite(score[lines, best])
+            for i in np.flatnonzero(~live):
+                done[number[i]] = symbols[i, : count[i]].tobytes()
+            if not live.all():
+                number, count, keys, best = number[live], count[live], keys[live], best[live]
+                symbols, starts, piece, score = symbols[live], starts[live], piece[live], score[live]
+                if not len(number):
+                    break
+                size = int(count.max())
+                symbols, starts, piece, score = symbols[:, : size + 1], starts[:, : size + 1], piece[:, :size], score[:, :size]
+                lines = np.arange(len(number))
+            symbols[lines, best] = piece[lines, best]
+            # what lies behind the merged pair moves up by one
+            cells = np.arange(symbols.shape[1])
+            ahead = np.minimum(cells + (cells > best[:, None]), symbols.shape[1] - 1)
+            symbols, starts = np.take_along_axis(symbols, ahead, 1), np.take_along_axis(starts, ahead, 1)
+            ahead = np.minimum(ahead[:, : score.shape[1]], score.shape[1] - 1)
+            piece, score = np.take_along_axis(piece, ahead, 1), np.take_along_axis(score, ahead, 1)
+            count -= 1
+            score[lines, count - 1] = np.inf
+            for where in (best - 1, best):
+                some = np.flatnonzero((where >= 0) & (where + 1 < count))
+                w = where[some]
+                span = starts[some, w], starts[some, w + 1], starts[some, np.minimum(w + 2, starts.shape[1] - 1)]
+                piece[some, w], score[some, w] = self._offers(keys[some], symbols[some, w], symbols[some, w + 1], span)
+        return done
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
+        """Ids of texts as 32-bit numbers; ``keys`` stand for their rows. Each text is led by one space, as the model expects."""
+        words, draws, new = [], [], [set() for _ in self.known]
+        varied = self.limit and self.variants > 1
+        for text, key in zip(texts, keys, strict=True):
+            chunks = _CHUNK.findall(" " + text) if text else []
+            if varied:
+                x = np.arange(1, len(chunks) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key & _MASK)
+                x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+                drawn = ((x >> np.uint64(33)) % np.uint64(self.variants)).tolist()
+            else:
+                drawn = [0] * len(chunks)
+            for chunk, v in zip(chunks, drawn, strict=True):
+                if chunk not in self.known[v]:
+                    new[v].add(chunk)
+            words.append(chunks)
+            draws.append(drawn)
+        for v, chunks in enumerate(new):
+            self._learn(sorted(chunks), v)
+        known = self.known
+        out = [b"".join([known[v][c] for c, v in zip(chunks, drawn, strict=True)]) for chunks, drawn in zip(words, draws, strict=True)]
+        for table in known:
+            if len(table) > REMEMBERED // len(known):
+                table.clear()
         return out
 
+    def _learn(self, chunks: list[str], variant: int) -> None:
+        table, plain = self.known[variant], []
+        for chunk in chunks:
+            if len(chunk) <= SHORT and SPACE not in chunk and all(c == " " or c in self.symbol for c in chunk):
+                plain.append(chunk)
+            else:
+                table[chunk] = array("i", self._segment(chunk, variant)).tobytes()
+        plain.sort(key=len)
+        for a in range(0, len(plain), 4096):
+            part = plain[a: a + 4096]
+            table.update(zip(part, self._segment_many(part, variant), strict=True))
 
-def decode(ids: list[int], vocabulary: Vocabulary) -> str:
-    """The text of ids from ``Encoder.encode``."""
-    out = bytearray()
-    for i in ids:
-        b = vocabulary.byte_of.get(i)
-        if b is None:
-            out += vocabulary.pieces[i].replace(SPACE, " ").encode()
-        else:
-            out.append(b)
-    return out[1:].decode("utf-8", "surrogatepass")
+    def encode(self, text: str, key: int) -> list[int]:
+        return np.frombuffer(self.encode_all([text], [key])[0], np.int32).tolist()
 
 
-def _lists(values: array, counts: list[int]) -> pa.ListArray:
-    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(values, dtype=np.int32) if values else np.zeros(0, np.int32)))
+def decode(ids: list[int], vocabulary: Vocabulary) -> str:
+    """The text of ids from ``Encoder.encode``."""
+    return b"".join(map(vocabulary.spelled.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
 def encode(df: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 0, variants: int = 4, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -163,21 +285,19 @@ def encode(df: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 0,
     kept = [c for c in df.columns if c.lower() != text.lower()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value, dropout, seed, variants)
+        encoder = sent.value.encoder(dropout, seed, variants)
         for batch in batches:
-            texts, keys = batch.column("_text").to_pylist(), batch.column("_key").to_pylist()
-            start, values, counts, same = 0, array("i"), [], []
-            for at, (x, key) in enumerate(zip(texts, keys, strict=True)):
-                ids = encoder.encode(x or "", key)
-                values.extend(ids)
-                counts.append(len(ids))
-                same.append(decode(ids, sent.value) == (x or ""))
-                if len(values) > 1 << 20 or at + 1 == len(texts):
-                    part = [batch.column(c).slice(start, at + 1 - start) for c in kept]
-                    yield pa.RecordBatch.from_arrays(
-                        [*part, _lists(values, counts), pa.array(counts, pa.int64()), pa.array(same, pa.bool_())],
-                        names=[*kept, "ids", "n_pieces", "lossless"])
-                    start, values, counts, same = at + 1, array("i"), [], []
+            for a in range(0, len(batch), ROWS):
+                part = batch.slice(a, ROWS)
+                texts = [x or "" for x in part.column("_text").to_pylist()]
+                found = encoder.encode_all(texts, part.column("_key").to_pylist())
+                ids = np.frombuffer(b"".join(found), np.int32)
+                counts = [len(f) // 4 for f in found]
+                same = [decode(np.frombuffer(f, np.int32).tolist(), sent.value) == x for f, x in zip(found, texts, strict=True)]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in kept], lists, pa.array(counts, pa.int64()), pa.array(same, pa.bool_())],
+                    names=[*kept, "ids", "n_pieces", "lossless"])
 
     content = F.col(f"`{text}`")
     keyed = df.select(*[F.col(f"`{c}`") for c in kept], content.alias("_text"), F.xxhash64(F.lit(seed), F.col(f"`{id}`"), content).alias("_key"))

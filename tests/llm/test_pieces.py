@@ -48,6 +48,19 @@ def test_dropout_varies_and_repeats(vocabulary):
     assert lengths[-1] <= len(text) + 1
 
 
+def test_many_at_once_equals_one_by_one(vocabulary, spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(6).collect()] + TEXTS
+    for dropout in (0.0, 0.1, 0.6):
+        encoder = pb.Encoder(vocabulary, dropout, 11, 3)
+        for text in texts:
+            for chunk in set(pb._CHUNK.findall(" " + text)):
+                for v in range(3):
+                    encoder._learn([chunk], v)
+                    assert np.frombuffer(encoder.known[v][chunk], np.int32).tolist() == list(encoder._segment(chunk, v)), chunk
+        together = pb.Encoder(vocabulary, dropout, 11, 3).encode_all(texts, list(range(len(texts))))
+        assert together == [pb.Encoder(vocabulary, dropout, 11, 3).encode_all([t], [i])[0] for i, t in enumerate(texts)]
+
+
 def test_share_of_skipped_candidates(vocabulary):
     encoder = pb.Encoder(vocabulary, 0.25, 5, 1)
     both = [len(encoder._segment(" t", v)) for v in range(4000)]
