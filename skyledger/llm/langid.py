@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +32,8 @@ SAMPLE, SAMPLE_CHARS, LANGUAGES = 600, 20_000, 100
 MARGIN = 6.0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WEIGHTS = mix(np.arange(1, 9, dtype=np.uint64) * _STEP) | np.uint64(1)
-_CUT = 1 << 20
+#: Characters scored at once, and rows turned into Python texts at once: what a worker holds follows from them.
+_CUT, _ROWS = 1 << 18, 256
 
 
 @lru_cache(maxsize=1)
@@ -238,11 +239,14 @@ def identify(df: DataFrame, identifier: Identifier, text: str = "text") -> DataF
     df = without(df, "lang_pred", "score", "rejected")
     sent = df.sparkSession.sparkContext.broadcast(identifier)
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            names, score, rejected = sent.value.predict([None if x is None else x for x in texts])
-            yield pd.DataFrame({"lang_pred": names, "score": score, "rejected": rejected})
+            parts = [sent.value.predict(texts.slice(a, _ROWS).to_pylist()) for a in range(0, len(texts), _ROWS)]
+            names, score, rejected = ([x for p in parts for x in p[i]] for i in range(3))
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
+                names=["lang_pred", "score", "rejected"])
 
     columns = [F.col(f"`{c}`") for c in df.columns]
     return df.select(*columns, judged(F.col(f"`{text}`")).alias("_lang")).select(*columns, "_lang.*")

@@ -29,6 +29,7 @@ from .common import Stage, components, mix, pieces, text_key, without
 
 BINS, BANDS = 96, 24
 LEAD_BYTES, BLOCK_BYTES = 1 << 20, 4 << 20
+ROWS = 512
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 _BASE = 0x5851F42D4C957F2D
@@ -55,7 +56,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    size = 1 << max(21, int(len(data)).bit_length())
+    size = 1 << max(19, int(len(data)).bit_length())
     up, down = _powers(size)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
@@ -129,11 +130,18 @@ def _texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of ``ROWS``, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for a in range(0, len(batch), ROWS):
+            yield batch.slice(a, ROWS)
+
+
 def _sketcher(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = _texts(batch.column("text"))
-            for a, b in pieces(texts, 1 << 21):
+            for a, b in pieces(texts, 1 << 19):
                 sets, sizes = shingle_sets(texts[a:b], k)
                 names = bands(sketches(sets, sizes))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * BANDS, BANDS), pa.int32()), pa.array(names.ravel()))
@@ -149,7 +157,7 @@ def _verifier(k: int, percent: int):
         def whole(text: bytes) -> np.ndarray:
             return shingle_sets([text], k)[0]
 
-        for batch in batches:
+        for batch in _slices(batches):
             good = []
             for x, y in zip(_texts(batch.column("text_a")), _texts(batch.column("text_b")), strict=True):
                 p, q = whole(x), whole(y)
@@ -170,7 +178,7 @@ def _block(k: int, percent: int):
         rids, roots = table.column("rid").to_numpy(), table.column("root").to_numpy()
         sets, sizes = [], []
         texts = _texts(table.column("text"))
-        for a, b in pieces(texts, 1 << 21):
+        for a, b in pieces(texts, 1 << 19):
             s, n = shingle_sets(texts[a:b], k)
             sets.append(s)
             sizes.append(n)
