@@ -21,15 +21,16 @@ class Stage:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = spark, label, {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """``by`` names a column whose values get folders of their own, which ``drop`` can take one by one."""
         path = fresh_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
+    def drop(self, *names: str, part: str = "") -> None:
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths[name] + part)
             conf = self.spark.sparkContext._jsc.hadoopConfiguration()
             path.getFileSystem(conf).delete(path, True)
 

@@ -53,9 +53,9 @@ def exact_dedup(df: DataFrame, text: str = "text", rank: str = "doc_id", carry:
     # a digit is looked at again with the rows' numbers, which name the groups from then on
     level0 = stage.keep(zero.join(shared.hint("merge"), "digit", "left").select(
         "row", "rank", F.when(F.col("size").isNotNull(), content).alias("rest"), F.lit(0).cast("long").alias("group"),
-        F.monotonically_increasing_id().alias("uid")), "level0")
-    everything = result(level0.where("rest IS NULL"), F.col("rank"), F.lit(1), F.lit(True))
-    active, level, width = level0.where("rest IS NOT NULL"), 0, FIRST
+        F.monotonically_increasing_id().alias("uid"), F.col("size").isNotNull().alias("more")), "level0", by="more")
+    everything = result(level0.where("NOT more"), F.col("rank"), F.lit(1), F.lit(True))
+    active, level, width = level0.where("more").drop("more"), 0, FIRST
     while not active.isEmpty():
         cut = active.withColumns({"raw": F.substring("rest", 1, width)})
         cut = cut.withColumns({"digit": _folded(F.col("raw")), "ended": F.octet_length("raw") < width}).drop("raw")
@@ -66,12 +66,13 @@ def exact_dedup(df: DataFrame, text: str = "text", rank: str = "doc_id", carry:
         onward = F.col("size").isNotNull() & ~F.col("ended")
         after = stage.keep(joined.select(
             "row", "rank", "uid", "size", "keep", "best", F.col("name").alias("group"),
-            F.when(onward, F.substring("rest", width + 1, 2**31 - 1)).alias("rest")), f"level{level + 1}")
+            F.when(onward, F.substring("rest", width + 1, 2**31 - 1)).alias("rest"), onward.alias("more")), f"level{level + 1}", by="more")
+        stage.drop(f"level{level}", part="/more=true")
         alone = F.col("size").isNull()
         everything = everything.union(result(
-            after.where("rest IS NULL"), F.when(alone, F.col("rank")).otherwise(F.col("keep")),
+            after.where("NOT more"), F.when(alone, F.col("rank")).otherwise(F.col("keep")),
             F.coalesce("size", F.lit(1)), alone | (F.col("uid") == F.col("best.uid"))))
-        active = after.where("rest IS NOT NULL").select("row", "rank", "uid", "group", "rest")
+        active = after.where("more").select("row", "rank", "uid", "group", "rest")
         level, width = level + 1, width * GROWTH
     return everything
 

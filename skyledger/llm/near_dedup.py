@@ -271,6 +271,8 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
         _block(k, percent), "a long, b long"), "links2")
     roots = stage.keep(components(links.union(strays), stage), "roots2")
 
+    stage.drop("ranked", "involved", "mixed", "links1", "links2", "roots1")
+
     # answers for all rows: text -> component -> smallest id
     named = reps.select("key", "rid").join(roots, F.col("rid") == F.col("node"), "left").select(
         "key", F.coalesce("root", "rid").alias("root"))
