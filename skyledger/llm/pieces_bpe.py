@@ -2,9 +2,13 @@
 
 A text is cut into chunks (a word with the spaces before it, or a run of line feeds), since no piece of the vocabulary reaches over their
 edges. In a chunk an agenda holds the candidate merges, best score first, leftmost on ties. A candidate is skipped for
-good if a keyed hash of its span falls below ``dropout``; the key is the seed and one of ``variants`` numbers that id, text
-and chunk number draw. So the same words are cut differently from place to place and from seed to seed, yet every
-run with the same seed gives the same pieces. With dropout 0 the pieces are the library's own.
+good if a keyed hash of its span falls below ``dropout``; the key is the seed and a number that id, text and chunk
+number draw. So every place of a word skips by itself, yet every run with the same seed gives the same pieces. With
+dropout 0 the pieces are the library's own.
+
+What a worker remembers changes no draw: for a chunk and the candidates skipped so far, it holds the pieces and the candidates met on the
+way. A place asks its own hash about those; if none is skipped the pieces are its own, else it goes on to the
+entry with the newly skipped ones. Entries asked for by a few places only are not made; those places are segmented many at a time.
 
 Characters without a piece, and the space mark itself, become byte pieces, so decoding returns every text exactly.
 """
@@ -14,7 +18,8 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -28,8 +33,12 @@ from .common import without
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +(?=\n|$)|\n+| +")
 _MASK = (1 << 64) - 1
-#: Chunks that a Python worker remembers, over all of its tasks.
+#: Chunks, or chunks with skipped candidates, that a Python worker remembers, over all of its tasks.
 REMEMBERED = 1 << 19
+#: Places that are drawn together. Candidates of one entry, as bits of a mask; chunks with more are segmented by themselves.
+PLACES, BITS = 1 << 16, 62
+#: Places that ask for an entry before it is made; until then they are segmented many at a time.
+ASKED = 4
 #: Chunks longer than this are segmented one by one, others many at a time. Slots of the table of pairs.
 SHORT, SLOT_BITS = 48, 20
 #: Texts that a worker encodes together.
@@ -97,6 +106,14 @@ class Encoder:
         self.score = np.full(len(vocabulary.pieces), np.inf)
         for i, score in vocabulary.plain.values():
             self.score[i] = score
+        self._forget()
+
+    def _forget(self) -> None:
+        """Entry 0 stands for chunks that are segmented by themselves."""
+        # an entry, 0 if there cannot be one, or how often it was asked for, below 0
+        self.entries: dict[str | tuple[int, int], int] = {}
+        self.made, self.above, self.skipped = [b""], [-1], [0]
+        self.asks, self.first = array("Q"), array("q", [0, 0])
 
     def _key(self, chunk: str, variant: int) -> int:
         return (self.seed * 0x9E3779B97F4A7C15 + variant * 0xC2B2AE3D27D4EB4F
@@ -104,13 +121,24 @@ class Encoder:
 
     def _segment(self, chunk: str, variant: int) -> tuple[int, ...]:
         """Pieces of one chunk."""
-        known, limit = self.vocabulary.plain, self.limit
+        key, limit = self._key(chunk, variant), self.limit
+
+        def skips(span: int) -> bool:
+            x = key ^ span
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
+            return x >> 32 < limit
+
+        return self._merge(chunk, skips if limit else None)
+
+    def _merge(self, chunk: str, skips: Callable[[int], bool] | None) -> tuple[int, ...]:
+        """Pieces of one chunk; ``skips`` is asked once about each candidate, a number of its start, middle and end."""
+        known = self.vocabulary.plain
         # the space mark in a text is no space: nothing may join it
         parts: list[str | None] = [SPACE if c == " " else c if c != SPACE else None for c in chunk]
         size = len(parts)
         ends = list(range(1, size + 1))
         starts = list(range(-1, size - 1))
-        key = self._key(chunk, variant)
         agenda: list[tuple[float, int, int, int]] = []
 
         def offer(left: int, right: int) -> None:
@@ -120,12 +148,8 @@ class Encoder:
             found = known.get(a + b)
             if found is None:
                 return
-            if limit:
-                x = key ^ (left << 42 | right << 21 | ends[right])
-                x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
-                x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
-                if x >> 32 < limit:
-                    return
+            if skips and skips(left << 42 | right << 21 | ends[right]):
+                return
             heapq.heappush(agenda, (found[1], left, right, len(a) + len(b)))
 
         for i in range(size - 1):
@@ -180,14 +204,13 @@ class Encoder:
         score[found] = self.score[piece[found]]
         return piece, score
 
-    def _segment_many(self, chunks: list[str], variant: int) -> list[bytes]:
+    def _segment_many(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
         """Pieces of many short chunks of known characters: each step makes the best merge of every chunk at once."""
         size = max(map(len, chunks))
         lengths = np.array([len(c) for c in chunks])
         symbols = np.full((len(chunks), size + 1), -1, np.int32)
         symbols[np.arange(size + 1) < lengths[:, None]] = [self.symbol[c] for chunk in chunks for c in chunk.replace(" ", SPACE)]
         starts = np.minimum(np.arange(size + 1), lengths[:, None])
-        keys = np.array([self._key(c, variant) for c in chunks], np.uint64)
         piece, score = np.full((len(chunks), size), -1, np.int32), np.full((len(chunks), size), np.inf)
         row, at = np.nonzero(np.arange(size) + 1 < lengths[:, None])
         end = np.minimum(at + 2, lengths[row])
@@ -224,8 +247,111 @@ class Encoder:
                 piece[some, w], score[some, w] = self._offers(keys[some], symbols[some, w], symbols[some, w + 1], span)
         return done
 
+    def _enter(self, chunk: str, above: int, skipped: int) -> int:
+        """A new entry: ``chunk`` with what was skipped on the way to entry ``above``, and there by the mask ``skipped``."""
+        asked, without, entry, mask = set(), set(), above, skipped
+        while entry >= 0:
+            spans = self.asks[self.first[entry]: self.first[entry + 1]]
+            asked.update(spans)
+            without.update(x for i, x in enumerate(spans) if mask >> i & 1)
+            entry, mask = self.above[entry], self.skipped[entry]
+        met: list[int] = []
+
+        def skips(span: int) -> bool:
+            met.append(span)
+            return span in without
+
+        pieces = self._merge(chunk, skips)
+        met = [x for x in met if x not in asked]
+        if len(met) > BITS:
+            return 0
+        self.made.append(array("i", pieces).tobytes())
+        self.above.append(above)
+        self.skipped.append(skipped)
+        self.asks.extend(met)
+        self.first.append(len(self.asks))
+        return len(self.made) - 1
+
+    def _draw(self, chunks: list[str], draws: np.ndarray) -> list[bytes]:
+        """Pieces of each chunk, as ``_segment`` gives them for its own draw."""
+        if len(self.entries) > REMEMBERED:
+            self._forget()
+        entries, limit = self.entries, np.uint64(self.limit)
+        number = Counter(chunks)
+        for c, times in number.items():
+            self._ask(c, times, c, -1, 0)
+        entry = np.maximum(np.array([entries[c] for c in chunks], np.int64), 0)
+        sums = {c: crc32(c.encode("utf-8", "surrogatepass")) for c in number}
+        keys = (np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MASK) + draws * np.uint64(0xC2B2AE3D27D4EB4F)
+                + np.array([sums[c] for c in chunks], np.uint64) * np.uint64(0x165667B19E3779F9))
+        live = np.flatnonzero(entry)
+        while len(live):
+            first = np.array(self.first, np.int64)
+            begin = first[entry[live]]
+            count = first[entry[live] + 1] - begin
+            owner = np.repeat(np.arange(len(live)), count)
+            bit = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            x = keys[live][owner] ^ np.array(self.asks, np.uint64)[begin[owner] + bit]
+            for _ in range(2):
+                x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+            hit = np.flatnonzero(x >> np.uint64(32) < limit)
+            if not len(hit):
+                break
+            owner = owner[hit]
+            edge = np.flatnonzero(np.diff(owner, prepend=-1))
+            masks = np.bitwise_or.reduceat(np.int64(1) << bit[hit], edge).tolist()
+            live = live[owner[edge]]
+            nexts = []
+            for i, step in zip(live.tolist(), zip(entry[live].tolist(), masks, strict=True), strict=True):
+                found = entries.get(step, -1)
+                nexts.append(found if found > 0 else self._ask(step, 1, chunks[i], *step))
+            entry[live] = nexts
+            live = live[entry[live] > 0]
+        made = self.made
+        out = [made[e] for e in entry.tolist()]
+        rest = np.flatnonzero(entry == 0).tolist()
+        plain = {c for c in {chunks[i] for i in rest} if self._plain(c)}
+        many = sorted((i for i in rest if chunks[i] in plain), key=lambda i: len(chunks[i]))
+        for a in range(0, len(many), 4096):
+            part = many[a: a + 4096]
+            for i, ids in zip(part, self._segment_many([chunks[i] for i in part], keys[part]), strict=True):
+                out[i] = ids
+        for i in rest:
+            if chunks[i] not in plain:
+                out[i] = array("i", self._segment(chunks[i], int(draws[i]))).tobytes()
+        return out
+
+    def _ask(self, name: str | tuple[int, int], times: int, chunk: str, above: int, skipped: int) -> int:
+        """The entry of this name, made if it was asked for often enough; else 0."""
+        found = self.entries.get(name, -1) if len(chunk) <= SHORT else 0
+        if found < 0:
+            found -= times
+            if found < -ASKED:
+                found = self._enter(chunk, above, skipped)
+        self.entries[name] = found
+        return max(found, 0)
+
+    def _plain(self, chunk: str) -> bool:
+        """True for a short chunk of known characters."""
+        return len(chunk) <= SHORT and SPACE not in chunk and all(c == " " or c in self.symbol for c in chunk)
+
+    def _encode_drawn(self, texts: list[str], keys: list[int]) -> list[bytes]:
+        """``encode_all`` where every place of a chunk has a draw of its own."""
+        words = [_CHUNK.findall(" " + text) if text else [] for text in texts]
+        draws = [np.arange(1, len(c) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key & _MASK) for c, key in zip(words, keys, strict=True)]
+        x = np.concatenate([*draws, np.empty(0, np.uint64)])
+        x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        chunks = [c for part in words for c in part]
+        out = []
+        for a in range(0, len(chunks), PLACES):
+            out += self._draw(chunks[a: a + PLACES], x[a: a + PLACES])
+        ends = np.cumsum([0, *map(len, words)]).tolist()
+        return [b"".join(out[a:b]) for a, b in zip(ends, ends[1:])]
+
     def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
         """Ids of texts as 32-bit numbers; ``keys`` stand for their rows. Each text is led by one space, as the model expects."""
+        if self.limit and not self.variants:
+            return self._encode_drawn(texts, keys)
         words, draws, new = [], [], [set() for _ in self.known]
         varied = self.limit and self.variants > 1
         for text, key in zip(texts, keys, strict=True):
@@ -253,14 +379,15 @@ class Encoder:
     def _learn(self, chunks: list[str], variant: int) -> None:
         table, plain = self.known[variant], []
         for chunk in chunks:
-            if len(chunk) <= SHORT and SPACE not in chunk and all(c == " " or c in self.symbol for c in chunk):
+            if self._plain(chunk):
                 plain.append(chunk)
             else:
                 table[chunk] = array("i", self._segment(chunk, variant)).tobytes()
         plain.sort(key=len)
         for a in range(0, len(plain), 4096):
             part = plain[a: a + 4096]
-            table.update(zip(part, self._segment_many(part, variant), strict=True))
+            keys = np.array([self._key(c, variant) for c in part], np.uint64)
+            table.update(zip(part, self._segment_many(part, keys), strict=True))
 
     def encode(self, text: str, key: int) -> list[int]:
         return np.frombuffer(self.encode_all([text], [key])[0], np.int32).tolist()
@@ -271,9 +398,10 @@ def decode(ids: list[int], vocabulary: Vocabulary) -> str:
     return b"".join(map(vocabulary.spelled.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
-def encode(df: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 0, variants: int = 4, text: str = "text", id: str = "doc_id") -> DataFrame:
+def encode(df: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 0, variants: int = 0, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``df`` without its text, with ``ids`` (array of int), ``n_pieces`` and ``lossless`` (decoding gave the text back).
 
+    Each place of a word draws by itself; with ``variants`` above 0 it takes one of so many ways to cut the word.
     Null and empty texts have no pieces. Repeated rows get equal pieces. Columns of these names are replaced; an
     empty table gives an empty table. The vocabulary is the only thing sent to executors.
     """

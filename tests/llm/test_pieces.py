@@ -86,3 +86,43 @@ def test_query(spark, library):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert sorted(r.doc_id for r in rows) == sorted(docs) and all(r.lossless for r in rows)
     assert all(library.decode(r.ids) == docs[r.doc_id] for r in rows[:50])
+
+
+def test_every_place_draws_by_itself(vocabulary, spark):
+    encoder = pb.Encoder(vocabulary, 0.1, 42, 0)
+    whole = pb.Encoder(vocabulary, 0.0, 42, 0)._segment(" misunderstandings", 0)
+    n = 20000
+    ids = np.frombuffer(encoder.encode_all(["misunderstandings " * n], [7])[0], np.int32)
+    cuts, at = {}, []
+    for i in ids.tolist():
+        if vocabulary.spelled[i][:1] == b" " and at:
+            cuts[tuple(at)] = cuts.get(tuple(at), 0) + 1
+            at = []
+        at.append(i)
+    met = []
+    encoder._merge(" misunderstandings", lambda span: met.append(span))
+    assert len(cuts) > 100
+    # a place without a skipped candidate has the library's pieces, and some others come to the same
+    assert cuts[whole] / n > 0.9 ** len(met) - 0.01
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("misunderstandings").alias("text"))
+    assert pb.encode(docs, pb.MODEL_FILE, 0.1, 42).select("ids").distinct().count() > 20
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.6])
+def test_drawn_places_equal_one_by_one(vocabulary, spark, dropout, monkeypatch):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(12).collect()] + TEXTS + ["", "word" * 40]
+    encoder = pb.Encoder(vocabulary, dropout, 11, 0)
+    drawn, plain = [], encoder._draw
+
+    def noted(chunks, draws):
+        drawn.extend(zip(chunks, draws.tolist(), strict=True))
+        return plain(chunks, draws)
+
+    monkeypatch.setattr(encoder, "_draw", noted)
+    monkeypatch.setattr(pb, "PLACES", 500)
+    monkeypatch.setattr(pb, "REMEMBERED", 3000)
+    got = encoder.encode_all(texts, list(range(len(texts))))
+    assert len({d for _, d in drawn}) == len(drawn)
+    want = [i for c, d in drawn for i in encoder._segment(c, d)]
+    assert np.frombuffer(b"".join(got), np.int32).tolist() == want
+    assert [pb.decode(np.frombuffer(g, np.int32).tolist(), vocabulary) for g in got] == texts
