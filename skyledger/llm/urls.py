@@ -2,7 +2,7 @@
 
 A url becomes a set of tokens: host labels by their distance from the end, path words, query names; digits count as ``#``. FP-growth
 mines the combinations of tokens that go with a label. A combination becomes a rule if its support and the lower bound
-of its confidence suffice and no part of it is as good a rule. Rules are found through an
+of its confidence suffice and no part of it is as good a rule; it may have any number of tokens. Rules are found through an
 inverted index: each is listed under its rarest token, urls meet it there, and its other tokens are then compared.
 """
 
@@ -31,8 +31,10 @@ LISTED = (
     Listed("block", "net", "/"), Listed("allow", "example.net", "/en/"),
     Listed("block", "example.com", "/de/"), Listed("allow", "org", "/fr/"),
 )
-#: Share of labelled urls with a combination, lower bound of its confidence (at 95 per cent), tokens in one.
-SUPPORT, CONFIDENCE, TOKENS = 0.002, 0.7, 4
+#: Share of labelled urls with a combination, lower bound of its confidence (at 95 per cent).
+SUPPORT, CONFIDENCE = 0.002, 0.7
+#: Tokens up to which a test compares rules with brute force. Rules have any number of tokens.
+TOKENS = 4
 DEFAULT = "allow"
 
 
@@ -86,8 +88,7 @@ def mine(labelled: DataFrame, stage: Stage, support: float = SUPPORT, confidence
         return labelled.select(F.array(none).alias("tokens"), none.alias("label"), F.lit(0).cast("long").alias("seen"),
                                F.lit(0.0).alias("confidence"), none.alias("key")).where(F.lit(False))
     items = rows.select(F.concat("tokens", F.array(F.concat(F.lit("="), F.col("label")))).alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(items).freqItemsets
-    sets = stage.keep(sets.where(F.size("items") <= TOKENS + 1), "itemsets")
+    sets = stage.keep(FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(items).freqItemsets, "itemsets")
     is_label = lambda x: F.startswith(x, F.lit("="))
     split = sets.select(
         F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("tokens"),

@@ -73,3 +73,31 @@ def test_query(spark):
     for r in got:
         host, path, rule, verdict = plain(pages[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (verdict or r.verdict) and r.verdict in ("allow", "block")
+
+
+def test_rules_of_every_size_equal_brute_force(spark):
+    """Six tokens that only together go with ``block``: each smaller part goes with both labels."""
+    from itertools import combinations, product
+
+    rows = []
+    for bits in product("ab", repeat=6):
+        url = "http://h{}.t{}/p{}/q{}/r{}?s{}=1".format(*bits)
+        rows += [(url, "block" if set(bits) == {"a"} else "allow")] * (40 if set(bits) == {"a"} else 12 if bits.count("b") == 1 else 1)
+    df = spark.createDataFrame(rows, "url string, label string")
+    got = {(tuple(r.tokens), r.label) for r in urls.mine(df, Stage(spark, "test"), support=0.01).collect()}
+    sets = [(frozenset(r.t), r.label) for r in df.select(urls.tokens(F.col("url")).alias("t"), "label").collect()]
+    every = sorted(frozenset().union(*(s for s, _ in sets)))
+
+    def bound(ts, label):
+        n = sum(s.issuperset(ts) for s, _ in sets)
+        k = sum(x == label and s.issuperset(ts) for s, x in sets)
+        if not n or k < 0.01 * len(sets):
+            return 0
+        p, z = k / n, 1.96
+        return (p + z * z / 2 / n - z * ((p * (1 - p) + z * z / 4 / n) / n) ** 0.5) / (1 + z * z / n)
+
+    sure = {(ts, x): b for n in range(1, 7) for ts in combinations(every, n) for x in ("allow", "block") if (b := bound(ts, x)) >= urls.CONFIDENCE}
+    want = {(ts, x) for (ts, x), b in sure.items() if not any(sure.get((c, x), 0) >= b for c in combinations(ts, len(ts) - 1))}
+    assert got == want and {len(ts) for ts, x in got if x == "block"} >= {6}
+    fresh = spark.createDataFrame([("http://ha.ta/pa/qa/ra?sa=2",), ("http://ha.ta/pa/qa/rb?sa=2",)], "url string")
+    assert {r.url[-7:-5]: r.verdict for r in urls.judge(fresh, df, rules=()).collect()} == {"ra": "block", "rb": "allow"}
