@@ -8,26 +8,29 @@ characters that came before (continuation counts). The language whose model need
 Rejection is calibrated: a share of each language's sample is held back, and a text is rejected if its cross-entropy
 exceeds what held-back texts of its length show (mean plus ``MARGIN`` standard deviations, which shrink with length).
 
-Models are fitted on a bounded sample (``SAMPLE`` texts of a language, those with the least hash of id and text, each of
-``SAMPLE_CHARS`` characters at most), so what is sent to executors is bounded. Prediction reads whole texts.
+Every language that occurs gets a model, fitted in a task of its own on a bounded sample: ``sample`` texts, those with the least
+hash of id and text, of a longer one ``STRETCHES`` stretches spread over it that hold ``chars`` characters together. So a model is
+bounded, and what is sent to executors grows only with the number of languages. Prediction reads whole texts.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, without
+from .common import Stage, mix, without
 
 ORDER = 4
-#: Texts per language, characters a text, and languages (the most frequent ones) that are learned from at most.
-SAMPLE, SAMPLE_CHARS, LANGUAGES = 600, 20_000, 100
+#: Texts per language and characters a text that are learned from at most; stretches of a longer text.
+SAMPLE, SAMPLE_CHARS, STRETCHES = 600, 20_000, 10
 #: Standard deviations above the mean of held-back texts from which a text is rejected.
 MARGIN = 6.0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -194,24 +197,17 @@ class Identifier:
         return names, np.where(blank, 0.0, 1.0 / odds), rejected
 
 
-def fit_identifier(rows: list[tuple[str, str]]) -> Identifier:
-    """Models from (language, text) pairs. Every fifth text of a language only calibrates, if there are five."""
-    by: dict[str, list[str]] = {}
-    for name, text in rows:
-        by.setdefault(name, []).append(text.lower())
-    names = sorted(n for n, texts in by.items() if any(any(map(str.isalpha, t)) for t in texts))
-    models, mean, spread = [], [], []
-    for name in names:
-        texts = by[name]
-        held = texts[::5] if len(texts) >= 5 else texts
-        model = fit([t for i, t in enumerate(texts) if len(texts) < 5 or i % 5])
-        nats, many = cross_entropies(held, [model])
-        nats, many = nats[many > 0, 0], many[many > 0]
-        centre = float(np.average(nats, weights=many)) if len(nats) else 0.0
-        mean.append(centre)
-        spread.append(float(np.sqrt(np.mean((nats - centre) ** 2 * many))) if len(nats) else 0.0)
-        models.append(model)
-    return Identifier(names, models, np.array(mean), np.array(spread))
+def fit_language(texts: list[str]) -> tuple[Model, float, float] | None:
+    """Model of a language, and mean and spread of its calibration; null without a letter. Every fifth text only calibrates, if there are five."""
+    if not any(any(map(str.isalpha, t)) for t in texts):
+        return None
+    texts = [t.lower() for t in texts]
+    held = texts[::5] if len(texts) >= 5 else texts
+    model = fit([t for i, t in enumerate(texts) if len(texts) < 5 or i % 5])
+    nats, many = cross_entropies(held, [model])
+    nats, many = nats[many > 0, 0], many[many > 0]
+    centre = float(np.average(nats, weights=many)) if len(nats) else 0.0
+    return model, centre, float(np.sqrt(np.mean((nats - centre) ** 2 * many))) if len(nats) else 0.0
 
 
 def held_out(id: Column) -> Column:
@@ -219,15 +215,36 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id") -> Identifier:
-    """Fit on a bounded sample of the rows that are not held out and have a text and a language."""
+def stretched(text: Column, chars: int) -> Column:
+    """Texts of up to ``chars`` characters, of longer ones spread stretches of as many together, with line feeds between."""
+    many = max(1, min(STRETCHES, chars // 100))
+    wide = chars // many
+    spare = F.char_length(text) - wide
+    parts = [F.substring(text, (F.floor(spare * i / max(1, many - 1)) + 1).cast("int"), F.lit(wide)) for i in range(many)]
+    return F.when(F.char_length(text) > chars, F.concat_ws("\n", *parts)).otherwise(text)
+
+
+def train(df: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Identifier:
+    """A model of every language, from ``sample`` texts of each and ``chars`` characters of a text at most.
+
+    Rows that are held out or have no text or language teach nothing; a language without a letter has no model.
+    """
     rows = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    known = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    fitting = rows.where(F.col("lang").isin(known) & (F.char_length("text") <= SAMPLE_CHARS))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id")
-    sample = fitting.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= SAMPLE)
-    return fit_identifier([(r.lang, r.text) for r in sample.orderBy("lang", "_rank").select("lang", "text").toLocalIterator()])
+    rows = rows.select("lang", "id", F.xxhash64("id", "text").alias("_hash"), stretched(F.col("text"), chars).alias("text"))
+    order = Window.partitionBy("lang").orderBy("_hash", "id")
+    chosen = rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).select("lang", "_rank", "text")
+
+    def fitted(part: pd.DataFrame) -> pd.DataFrame:
+        found = fit_language(part.sort_values("_rank")["text"].tolist())
+        return pd.DataFrame({"lang": [part["lang"].iloc[0]], "fitted": [found and pickle.dumps(found)]})
+
+    stage = Stage(df.sparkSession, "langid")
+    models = stage.keep(chosen.groupBy("lang").applyInPandas(fitted, "lang string, fitted binary"), "models")
+    found = sorted((r.lang, bytes(r.fitted)) for r in models.where("fitted IS NOT NULL").toLocalIterator())
+    stage.drop("models")
+    kept = [pickle.loads(x) for _, x in found]
+    return Identifier([n for n, _ in found], [k[0] for k in kept], np.array([k[1] for k in kept]), np.array([k[2] for k in kept]))
 
 
 def identify(df: DataFrame, identifier: Identifier, text: str = "text") -> DataFrame:

@@ -111,3 +111,26 @@ def test_no_column_but_the_text_decides(spark):
     a = langid.identify(docs, who).select("doc_id", "lang_pred", "score").collect()
     b = langid.identify(docs.withColumns({"lang": F.lit("xx"), "source": F.lit(None)}), who).select("doc_id", "lang_pred", "score").collect()
     assert sorted(a) == sorted(b)
+
+
+def test_every_language_has_a_model(spark):
+    """More than 100 languages, one with long texts only; each document has the letters of its language."""
+    rows = [(5 * i + j, " ".join(chr(0x4E00 + 20 * i + (k + j) % 20) * 2 for k in range(30)), f"l{i:03d}") for i in range(130) for j in range(5)]
+    long = [(1000 + j, "".join("стол и окно "[(k + j) % 12] for k in range(langid.SAMPLE_CHARS)) + " дом" * 500, "long") for j in range(9)]
+    docs = spark.createDataFrame(rows + long, "doc_id long, text string, lang string")
+    who = langid.train(docs)
+    taught = sorted({r.lang for r in docs.where(~langid.held_out(F.col("doc_id"))).collect()})
+    assert who.names == taught and len(taught) > 120 and "long" in taught
+    for r in langid.identify(docs.where(F.col("lang").isin(taught)), who).collect():
+        assert r.lang_pred == r.lang
+
+
+def test_sample_bounds(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(5000))
+    got = spark.createDataFrame([(text,), ("short",)], "text string").select(langid.stretched(F.col("text"), 1000)).collect()
+    assert got[1][0] == "short" and len(got[0][0]) == 1000 + langid.STRETCHES - 1
+    parts = got[0][0].split("\n")
+    assert all(p in text and len(p) == 100 for p in parts) and text.startswith(parts[0]) and text.endswith(parts[-1])
+    docs = spark.createDataFrame([(i, "abc def" if i % 2 else "xyz " * 9, "en") for i in range(40)], "doc_id long, text string, lang string")
+    one, all_ = langid.train(docs, sample=1), langid.train(docs)
+    assert len(one.models[0].grams[1]) < len(all_.models[0].grams[1])
