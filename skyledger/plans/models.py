@@ -105,11 +105,22 @@ def ml_holdout_metrics(spark, sf):
         F.when(enough, F.col("rmse_min") < F.col("seasonal_rmse_min")).alias("min_beats_seasonal"))
 
 
+def ml_holdout_errors(spark, sf):
+    """Hold-out rows, the errors of models and seasonal mean, and whether the models' are smaller, at every size.
+
+    Null only without a hold-out row. No SQL can state these values; ``ml_holdout_metrics`` has the part that its SQL states.
+    """
+    _, train, test = split(spark, sf)
+    return forecast.holdout_metrics(scored(train, test), train).withColumns({
+        "max_beats_seasonal": F.col("rmse_max") < F.col("seasonal_rmse_max"),
+        "min_beats_seasonal": F.col("rmse_min") < F.col("seasonal_rmse_min")})
+
+
 QUERIES = {
     "ml_feature_select": ml_feature_select, "ml_train_regressors": ml_train_regressors,
     "ml_train_classifier": ml_train_classifier, "ml_future_grid": ml_future_grid,
     "ml_predict_decode": ml_predict_decode, "ml_target_fallback": ml_target_fallback,
-    "ml_holdout_metrics": ml_holdout_metrics,
+    "ml_holdout_metrics": ml_holdout_metrics, "ml_holdout_errors": ml_holdout_errors,
 }
 
 # Cleaning of the merged table: keys are unique already.

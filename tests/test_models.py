@@ -110,3 +110,31 @@ def test_forecast_of_one_place(spark):
     df = ready(spark)
     out = forecast.forecast(df, df, days=7, place="Luxor", trees=2)
     assert out.count() == 7 and out.columns[-3:] == ["predicted_max_temp", "predicted_min_temp", "predicted_condition"]
+
+
+def test_holdout_errors_at_a_small_size(spark, monkeypatch):
+    """Under ``ENOUGH`` rows too, errors and comparisons are those of brute force."""
+    from skyledger.plans import models
+
+    df = ready(spark)
+    train, test = features.split_chronological(df)
+    guess = test.withColumns({"predicted_max_temp": F.col("avg_max_temp") + F.dayofmonth("date") % 4, "predicted_min_temp": F.col("avg_min_temp") + 100})
+    monkeypatch.setattr(models, "split", lambda spark, sf: (df, train, test))
+    monkeypatch.setattr(models, "scored", lambda train, test: guess)
+    got = models.QUERIES["ml_holdout_errors"](spark, "").first()
+    past, rows = train.collect(), guess.collect()
+
+    def rmse(pairs):
+        return (sum((a - b) ** 2 for a, b in pairs) / len(rows)) ** 0.5
+
+    def seasonal(r, column):
+        same = [p[column] for p in past if (p.city_encoded, p.month) == (r.city_encoded, r.month)] or [p[column] for p in past]
+        return sum(same) / len(same)
+
+    assert got.rows == len(rows) < models.ENOUGH
+    for side in ("max", "min"):
+        column = f"avg_{side}_temp"
+        own, base = rmse([(r[f"predicted_{side}_temp"], r[column]) for r in rows]), rmse([(seasonal(r, column), r[column]) for r in rows])
+        assert got[f"rmse_{side}"] == pytest.approx(own) and got[f"seasonal_rmse_{side}"] == pytest.approx(base)
+        assert got[f"{side}_beats_seasonal"] is (own < base)
+    assert got.max_beats_seasonal and not got.min_beats_seasonal
