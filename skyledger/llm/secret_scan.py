@@ -115,7 +115,8 @@ def candidates(index: DataFrame, keys: list[str], rules: tuple[Rule, ...]) -> Da
     table = []
     for r, rule in enumerate(rules):
         for c, clause in enumerate(trigram_query(rule.pattern) or []):
-            table += [(g, 1 << r, c, 1 << i, (1 << len(clause)) - 1) for i, g in enumerate(clause[:62])]
+            # a long has room for 62 trigrams; the expression itself verifies the rest
+            table += [(g, 1 << r, c, 1 << i, (1 << min(len(clause), 62)) - 1) for i, g in enumerate(clause[:62])]
     if not table:
         return index.select(*keys, F.lit(0).cast("long").alias("rules")).where(F.lit(False))
     names = ("trigram", "rule", "clause", "bit", "all")

@@ -87,3 +87,13 @@ def test_query(spark):
         base = [x for x, s in zip(said, spans, strict=True) if s[1] < 3]
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == k for s in spans) for k in range(3))
         assert r.spans == ",".join(said) and r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+
+
+def test_rule_with_a_long_literal(spark):
+    for n in (64, 65, 66, 70):
+        literal = "".join(chr(97 + i * i % 23) + chr(97 + i * 7 % 26) for i in range(n))[:n]
+        rule = ss.Rule("long", literal)
+        assert len(ss.trigram_query(literal)[0]) > 60
+        docs = spark.createDataFrame([(1, "x " + literal + " y"), (2, literal[:-1])], "doc_id long, text string")
+        got = {r.doc_id: [tuple(s) for s in r.spans] for r in ss.scan(docs, (rule,)).collect()}
+        assert got == {1: [(2, 0, 2 + n)], 2: []}
