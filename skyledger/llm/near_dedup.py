@@ -5,7 +5,8 @@ round ``i`` every element is hashed into a bin with a value in [i, i + 1), and a
 ``BINS`` random rounds, round ``BINS + j`` throws every element into bin ``j``, so each coordinate fills. A
 coordinate of two sketches agrees with probability equal to the Jaccard similarity, and their number is
 concentrated as if all coordinates were independent. ``BANDS`` bands of ``BINS / BANDS`` coordinates name
-buckets: a pair at similarity 0.8 shares none with probability (1 - 0.8 ** 4) ** 24 = 3e-6.
+buckets: a pair at similarity 0.8 shares none with probability (1 - 0.8 ** 4) ** 24 = 3e-6. A lower threshold gets more bands of
+fewer coordinates, so that a pair on it is missed with probability ``MISS`` at most.
 
 Pairs are never listed by bucket. Each bucket first compares its members with one of them, the one that meets most
 others in all buckets, and links found are joined into components. Where that leaves several components in a bucket, the
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import Stage, components, mix, pieces, text_key, without
 
 BINS, BANDS = 96, 24
+#: Chance at most that a pair at the threshold shares no bucket; bands get fewer coordinates where it needs that.
+MISS = 1e-5
 LEAD_BYTES, BLOCK_BYTES = 1 << 20, 4 << 20
 ROWS = 512
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -126,6 +129,14 @@ def bands(table: np.ndarray, count: int = BANDS) -> np.ndarray:
     return mix((cut * _ODD[:rows]).sum(axis=2, dtype=np.uint64) + np.arange(1, count + 1, dtype=np.uint64) * _ODD[5]).view(np.int64)
 
 
+def band_count(percent: int) -> int:
+    """Bands for a threshold: the fewest, from ``BANDS`` on, that keep to ``MISS``."""
+    for rows in range(BINS // BANDS, 0, -1):
+        if BINS % rows == 0 and 0 < percent <= 100 and (1 - (percent / 100) ** rows) ** (BINS // rows) <= MISS:
+            return BINS // rows
+    raise ValueError(f"percent must be at most 100 and high enough that {BINS} bins miss a pair with chance {MISS} at most: 12 or more")
+
+
 def _texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
@@ -137,14 +148,14 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, ROWS)
 
 
-def _sketcher(k: int):
+def _sketcher(k: int, count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             texts = _texts(batch.column("text"))
             for a, b in pieces(texts, 1 << 19):
                 sets, sizes = shingle_sets(texts[a:b], k)
-                names = bands(sketches(sets, sizes))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * BANDS, BANDS), pa.int32()), pa.array(names.ravel()))
+                names = bands(sketches(sets, sizes), count)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * count, count), pa.int32()), pa.array(names.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(a, b - a), batch.column("key").slice(a, b - a), pa.array(sizes), lists],
                     names=["id", "key", "n", "buckets"])
@@ -209,13 +220,15 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
     Documents are linked if their shingle sets (``k`` words, A-Z lower-cased, words apart by ASCII white space)
     share at least ``percent`` per cent of their union. ``component_id`` is the smallest id that links reach; null ids
     count only where a component has no other. ``kept`` is ``id = component_id`` (nulls equal). Null or
-    empty texts have no shingles and are linked with nothing. Rows with equal texts are linked and are compared
+    empty texts have no shingles and are linked with nothing. A link at the threshold is missed with chance ``MISS`` at most; ``percent``
+    too low for that raises an error. Rows with equal texts are linked and are compared
     as one. Repeated rows get equal answers. An empty table gives an empty table. Columns other than
     id and text are not read.
 
     """
     if not 2 <= k <= len(_ODD):
         raise ValueError(f"k must be from 2 to {len(_ODD)}")
+    count = band_count(percent)
     spark = df.sparkSession
     stage = Stage(spark, "near-dedup")
     base = df.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -224,7 +237,7 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
 
     # one pass over all texts; then one row per distinct text, numbered
     drawn = stage.keep(base.select("id", "key", "text").mapInArrow(
-        _sketcher(k), f"id {id_type}, key binary, n long, buckets array<long>"), "sketches")
+        _sketcher(k, count), f"id {id_type}, key binary, n long, buckets array<long>"), "sketches")
     reps = stage.keep(drawn.where("n > 0").dropDuplicates(["key"]).withColumn("rid", F.monotonically_increasing_id()), "texts")
 
     # buckets with several members, and how many others a member meets in all of them

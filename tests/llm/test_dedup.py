@@ -119,3 +119,20 @@ def test_sketches_fill_and_estimate():
     assert agree == pytest.approx(900 / 1100, abs=0.15)
     alone = near_dedup.sketches(sets[2], np.array([1000]))
     assert (alone[0] == table[2]).all()
+
+
+def test_pairs_on_a_low_threshold_meet(spark):
+    """200 pairs with 20 of 40 shingles in common."""
+    rows = []
+    for i in range(200):
+        same = [f"s{i}x{j}" for j in range(23)]
+        rows += [(2 * i + e, " ".join(same + [f"e{e}y{i}z{j}" for j in range(10)])) for e in (0, 1)]
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), percent=50)
+    assert got.where("kept").count() == 200
+    assert near_dedup.band_count(80) == near_dedup.BANDS == near_dedup.band_count(100)
+    for percent in range(12, 101):
+        n = near_dedup.band_count(percent)
+        assert (1 - (percent / 100) ** (near_dedup.BINS // n)) ** n <= 1e-5
+    for percent in (-1, 0, 5, 101):
+        with pytest.raises(ValueError):
+            near_dedup.near_dedup(spark.createDataFrame(rows[:2], "doc_id long, text string"), percent=percent)
