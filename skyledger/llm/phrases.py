@@ -33,11 +33,13 @@ WORDS, LEAST, TOP, SWALLOWED = 3, 10, 2000, 50
 BURST, HELD, NAMES = 1 << 15, 1 << 20, 1 << 18
 #: Containers at the root and below a word that has burst; slices of a prefix; text bytes a partition; entries merged at once.
 ROOTS, LIMBS, SLICES, PART_BYTES, MERGED = 64, 16, 64, 4 << 20, 1 << 21
-#: Characters of texts joined, and tokens counted, at once.
+#: Bytes of texts joined, and tokens counted, at once.
 _CUT, _STRETCH = 1 << 20, 1 << 17
 _BITS = 20
-_TABLE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\r\x0b\x0c\t", "abcdefghijklmnopqrstuvwxyz" + "\n" * 9 + " ")
-_TOKENS = re.compile("[^ \n]+|\n")
+_PACKING = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=1))
+#: On UTF-8 bytes; those of letters beyond ASCII stay as they are.
+_TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\r\x0b\x0c\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
+_TOKENS = re.compile(b"[^ \n]+|\n")
 
 
 class HatTrie:
@@ -45,7 +47,7 @@ class HatTrie:
 
     def __init__(self, burst: int | None = None):
         self.burst = burst or BURST
-        self.leaves: list[dict[int, int] | None] = [{} for _ in range(ROOTS)]
+        self.leaves: list[Counter | None] = [Counter() for _ in range(ROOTS)]
         self.of_word = np.zeros(0, np.int64)  # the leaf, or the first of LIMBS leaves, of a first word
         self.split = np.zeros(0, bool)
         self.size = 0
@@ -66,7 +68,7 @@ class HatTrie:
         for a, b, i in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)], leaf[begins].tolist(), strict=True):
             held = self.leaves[i]
             before = len(held)
-            _count(held, keys[a:b])
+            held.update(keys[a:b])
             self.size += len(held) - before
             if len(held) > self.burst:
                 self._burst(i)
@@ -79,16 +81,16 @@ class HatTrie:
         names = np.unique(first)
         if len(names) == 1 and self.split[names[0]]:
             return
-        self.leaves[i] = {} if i < ROOTS else None
+        self.leaves[i] = Counter() if i < ROOTS else None
         if len(names) == 1:
             self.split[names[0]] = True
             self.of_word[names[0]] = len(self.leaves)
             target = len(self.leaves) + (keys >> _BITS) % LIMBS
-            self.leaves.extend({} for _ in range(LIMBS))
+            self.leaves.extend(Counter() for _ in range(LIMBS))
         else:
             self.of_word[names] = len(self.leaves) + np.arange(len(names))
             target = self.of_word[first]
-            self.leaves.extend({} for _ in names)
+            self.leaves.extend(Counter() for _ in names)
         for key, count, leaf in zip(keys.tolist(), counts.tolist(), target.tolist(), strict=True):
             self.leaves[leaf][key] = count
 
@@ -100,22 +102,17 @@ class HatTrie:
                 return
             yield _arrays(self.leaves[i])
             self.size -= len(self.leaves[i])
-            self.leaves[i] = {}
+            self.leaves[i] = Counter()
 
 
-def _count(held: dict[int, int], keys: list[int]) -> None:
-    for key, count in Counter(keys).items():
-        held[key] = held.get(key, 0) + count
-
-
-def _arrays(held: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def _arrays(held: Counter) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(held.keys(), np.int64, len(held)), np.fromiter(held.values(), np.int64, len(held))
 
 
 class _Names(dict):
     """Numbers of words in order of appearance; 0 is the end of a piece."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
         return number
 
@@ -128,14 +125,14 @@ class _Counter:
         self.start()
 
     def start(self) -> None:
-        self.names, self.tries = _Names({"\n": 0}), {}
-        self.held = 0
+        self.names, self.tries = _Names({b"\n": 0}), {}
+        self.hashes, self.held = [0], 0
 
-    def add(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
+    def add(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count the phrases of a text; long ones come in stretches that overlap by the words that a phrase may reach back."""
         line = text.translate(_TABLE)
         tokens = iter(_TOKENS.findall(line)) if len(line) <= _CUT else (m.group() for m in _TOKENS.finditer(line))
-        back = ["\n"] * (WORDS - 1)
+        back = [b"\n"] * (WORDS - 1)
         while run := list(islice(tokens, _STRETCH)):
             run = back + run
             back = run[1 - WORDS:]
@@ -157,50 +154,46 @@ class _Counter:
     def spilled(self, until: int) -> Iterator[pa.RecordBatch]:
         """Sorted runs of the largest subtrees, one row for each run and partition."""
         words = list(self.names)
+        self.hashes.extend(map(zlib.crc32, words[len(self.hashes):]))
+        hashes = np.array(self.hashes, np.uint64)
         order = np.zeros(len(words), np.int64)
         order[sorted(range(1, len(words)), key=words.__getitem__)] = np.arange(1, len(words))
         back = np.argsort(order)
-        hashes = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint64, len(words))
-        hashes[0] = 0
-        named = pa.array(words)
+        named = pa.array(words, pa.binary()).cast(pa.string())
+        low = (1 << _BITS) - 1
         for lang, trie in sorted(self.tries.items(), key=lambda x: -x[1].size):
-            keys, counts, before = [], [], trie.size
-            for k, n in trie.spill(max(0, until - (self.held - trie.size))):
-                keys.append(k)
-                counts.append(n)
+            before = trie.size
+            found = list(trie.spill(max(0, until - (self.held - before))))
             self.held -= before - trie.size
-            if not keys:
+            if not found:
                 continue
-            keys, counts = np.concatenate(keys), np.concatenate(counts)
-            low = (1 << _BITS) - 1
-            a, b, c = order[keys >> 2 * _BITS], order[(keys >> _BITS) & low], order[keys & low]
-            sort = np.lexsort((c, b, a))
-            a, b, c, counts = back[a[sort]], back[b[sort]], back[c[sort]], counts[sort]
+            keys, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+            keys = (order[keys >> 2 * _BITS] << 2 * _BITS) | (order[(keys >> _BITS) & low] << _BITS) | order[keys & low]
+            sort = np.argsort(keys)
+            keys, counts = keys[sort], counts[sort]
+            a, b, c = back[keys >> 2 * _BITS], back[(keys >> _BITS) & low], back[keys & low]
             tail = np.where(c > 0, hashes[c], np.uint64(0)) % np.uint64(SLICES)
-            base = np.full(len(a), zlib.crc32(lang.encode()), np.uint64)
-            prefix = mix(mix(mix(base) + hashes[a]) + hashes[b])
+            prefix = mix(mix(mix(np.full(len(a), zlib.crc32(lang.encode()), np.uint64)) + hashes[a]) + hashes[b])
             part = (mix(prefix + tail) % np.uint64(self.parts)).astype(np.int64)
-            group = np.argsort(part, kind="stable")
-            begins = np.flatnonzero(np.diff(part[group], prepend=-1))
-            ends = [*begins[1:].tolist(), len(group)]
-            rows = []
-            for x, y in zip(begins.tolist(), ends, strict=True):
-                at = group[x:y]
-                rows.append((int(part[at[0]]), _packed(lang, named, a[at], b[at], c[at], counts[at])))
-            for x in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[x:x + 256]], pa.int64()), pa.array([lang] * len(rows[x:x + 256])),
-                                                  pa.array([r[1] for r in rows[x:x + 256]], pa.binary())], names=["part", "lang", "run"])
-
-
-def _packed(lang: str, words: pa.Array, a: np.ndarray, b: np.ndarray, c: np.ndarray, counts: np.ndarray) -> bytes:
+            group = np.argsort(part.astype(np.uint16) if self.parts < 1 << 16 else part, kind="stable")
+            part, a, b, c, counts = part[group], a[group], b[group], c[group], counts[group]
+            phrase = named.take(pa.array(a))
+            for more in (b, c):
+                phrase = pc.if_else(pa.array(more > 0), pc.binary_join_element_wise(phrase, named.take(pa.array(more)), " "), phrase)
+            held = pa.RecordBatch.from_arrays([phrase, pa.array(counts)], names=["phrase", "n"])
+            begins = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            for x in range(0, len(begins), 256):
+                some = [*begins[x:x + 257], len(part)][:257]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[some[:-1]]), pa.array([lang] * (len(some) - 1)),
+                    pa.array([_packed(held.slice(i, j - i)) for i, j in zip(some, some[1:], strict=False)], pa.binary())], names=["part", "lang", "run"])
+
+
+def _packed(run: pa.RecordBatch) -> bytes:
     """A sorted run as an Arrow stream of phrases and counts."""
-    one = words.take(pa.array(a))
-    two = pc.if_else(pa.array(b > 0), pc.binary_join_element_wise(one, words.take(pa.array(b)), " "), one)
-    phrase = pc.if_else(pa.array(c > 0), pc.binary_join_element_wise(two, words.take(pa.array(c)), " "), two)
     sink = pa.BufferOutputStream()
-    batch = pa.RecordBatch.from_arrays([phrase, pa.array(counts)], names=["phrase", "n"])
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
-        out.write_batch(batch)
+    with pa.ipc.new_stream(sink, run.schema, options=_PACKING) as out:
+        out.write_batch(run)
     return sink.getvalue().to_pybytes()
 
 
@@ -208,17 +201,17 @@ def _runs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBa
     """Sorted runs of the phrases of a task's texts."""
     counter = _Counter(parts)
     for batch in batches:
-        waiting: dict[str, list[str]] = {}
+        waiting: dict[str, list[bytes]] = {}
         held: dict[str, int] = {}
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"], strict=True):
-            text = text.as_py()
+            text = text.as_buffer().to_pybytes()
             waiting.setdefault(lang, []).append(text)
             held[lang] = held.get(lang, 0) + len(text)
             if held[lang] > _CUT // 4:
                 del held[lang]
-                yield from counter.add(lang, "\n".join(waiting.pop(lang)))
+                yield from counter.add(lang, b"\n".join(waiting.pop(lang)))
         for lang, texts in waiting.items():
-            yield from counter.add(lang, "\n".join(texts))
+            yield from counter.add(lang, b"\n".join(texts))
     yield from counter.spilled(0)
 
 

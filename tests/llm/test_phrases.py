@@ -101,7 +101,7 @@ def test_bursts_spills_and_ranges_change_nothing(spark, small):
 
 def test_runs_are_sorted_by_words():
     counter = phrases._Counter(1)
-    list(counter.add("en", "b a! b a b\x01 a c"))
+    list(counter.add("en", b"b a! b a b\x01 a c"))
     for batch in counter.spilled(0):
         for run in batch["run"]:
             held = phrases.pa.ipc.open_stream(run.as_buffer()).read_all()["phrase"].to_pylist()
