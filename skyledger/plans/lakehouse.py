@@ -84,7 +84,9 @@ def build(spark: SparkSession, raw: dict[str, str], out: str, trees: int = forec
     changes = spark.createDataFrame([], REVISIONS)
     if "revisions" in raw:
         changes = tables["revision_history"] = staging("revisions", REVISIONS)
-    monthly = standardize(readers.read_text_csv(spark, raw["monthly"]), aliases) if "monthly" in raw else None
+    # month files come from collectors of several times: each is read by its own header
+    months = [standardize(f, aliases) for f in readers.read_csv_by_header(spark, raw["monthly"])] if "monthly" in raw else []
+    monthly = union_all(months) if months else None
     tables["silver"] = write(silver(bronze(tables["merged_weather"], monthly), changes, source_order), "silver")
     tables.update(gold(tables["silver"], f"{out}/gold"))
     prepared = write(features.prepare(tables["ml_ready"]), "prepared")

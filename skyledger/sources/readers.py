@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import csv
+import re
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.operators.columns import standardize, union_all
 
@@ -41,12 +46,65 @@ def read_multiline_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of a file, out of the lines of one piece of it; nothing of later pieces. The rest is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            if batch["start"][0].as_py() == 0:
+                yield batch.slice(0, 1).select(["path", "line"])
+            return
+
+
+def file_headers(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> list[tuple[str, str]]:
+    """Path and first line of each file. Files without a line are left out.
+
+    One job for all files. Each piece of a file is a task of its own here, so that it can stop after the first lines.
+    """
+    settings = {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes"),
+                "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = lines.mapInArrow(_first_lines, "path string, line string").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return [(unquote(r.path), r.line) for r in found]
+
+
+def column_names(header: str) -> list[str]:
+    """Names of a header line, without a byte-order mark. A name that repeats in any case gets its position added."""
+    names = next(csv.reader([header.removeprefix("\ufeff").rstrip("\r")]), [])
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def read_csv_by_header(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> list[DataFrame]:
+    """Headered CSV files as text, each by its own header: one frame for each different header, in the order of headers.
+
+    Columns may be reordered, missing or additional from file to file; Spark alone would name the columns of all files by
+    one of them. The first lines are probed in one job, then each different header is one scan, however many files have it.
+    What the driver holds is a path and a header for each file, as its file listing does. Folder names are not columns.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for place, line in file_headers(spark, path, pattern):
+        name = re.sub(r"([\\{}\[\]*?])", r"\\\1", place)  # a name, not a pattern
+        groups.setdefault(tuple(column_names(line)), []).append(name)
+    return [spark.read.schema(", ".join(f"`{n.replace('`', '``')}` string" for n in names)).option("header", True)
+            .option("escape", '"').csv(sorted(paths)) for names, paths in sorted(groups.items())]
+
+
 def read_weather_csvs(spark: SparkSession, families: list[tuple[str, str]]) -> DataFrame:
-    """One table out of several CSV families, each ``(path, file pattern)`` with its own header.
+    """One table out of several CSV families, each ``(path, file pattern)``; every file is read by its own header.
 
-    One scan per family, however many files it has.
+    Families come in their order, and of a family one scan per different header. No file at all is an error.
     """
-    frames = [standardize(read_text_csv(spark, path, pattern)) for path, pattern in families]
+    frames = [standardize(frame) for path, pattern in families for frame in read_csv_by_header(spark, path, pattern)]
+    if not frames:
+        raise FileNotFoundError(f"no CSV file with a header in {families}")
     return union_all(frames)
 
 

@@ -61,31 +61,67 @@ def new_months(incoming: DataFrame, loaded: DataFrame) -> DataFrame:
     return incoming.join(F.broadcast(months), MONTH, "left_anti")
 
 
-VERSIONED = [*MONTH, "version", "batch"]
+#: One row of the load ledger: what a batch of a run brought, under which load number.
+LEDGER = "year int, month int, version string, load long, run string, batch long"
 
 
-def add_versions(df: DataFrame, path: str, batch: int) -> None:
-    """Write rows (with a ``version`` column) by month, version and batch; a batch written again replaces itself.
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The loads of a target: one row for each (year, month, version) of each batch. Empty before the first load."""
+    found = try_read(lambda: spark.read.schema(LEDGER).parquet(f"{path}/ledger"))
+    return spark.createDataFrame([], LEDGER) if found is None else found
 
-    Nothing that is loaded is read or removed, so months may arrive as any number of files in any number
-    of batches. ``read_months`` picks the version of each month.
+
+def add_versions(df: DataFrame, path: str, batch: int, run: str = "direct") -> None:
+    """Write rows (with a ``version`` column) as one load; a batch of a run that is written again replaces itself.
+
+    Rows lie below ``rows`` by run, batch and month. The ledger entry is written after them, so a batch that failed on its way stays
+    invisible. Nothing that is loaded is read or removed: months may arrive as any number of files in any number
+    of batches and runs. A load gets the next number; a repeated one keeps its own. A null version is the empty one;
+    rows without a year or month form a month of their own. ``read_months`` picks the version of each month.
     """
-    (
-        df.withColumn("batch", F.lit(batch)).hint("rebalance", *MONTH, "version").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*VERSIONED).parquet(path)
-    )
+    spark, place = df.sparkSession, f"run={run}/batch={batch}"
+    rows = df.withColumns({"version": F.coalesce(F.col("version").cast("string"), F.lit("")), "_year": F.col("year"), "_month": F.col("month")})
+    ledger = read_ledger(spark, path)
+    own = (F.col("run") == run) & (F.col("batch") == batch)
+    known, last = ledger.agg(F.max(F.when(own, F.col("load"))), F.max("load")).first()
+    load = known if known is not None else (0 if last is None else last + 1)
+    rows.hint("rebalance", "_year", "_month").write.mode("overwrite").partitionBy("_year", "_month").parquet(f"{path}/rows/{place}")
+    written = spark.read.schema(rows.schema).parquet(f"{path}/rows/{place}").select(
+        F.col("year").cast("int"), F.col("month").cast("int"), "version").distinct()
+    entry = written.select("*", F.lit(load).cast("long").alias("load"), F.lit(run).alias("run"), F.lit(batch).cast("long").alias("batch"))
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{path}/ledger/{place}")
+
+
+def chosen_loads(ledger: DataFrame, keep: str) -> DataFrame:
+    """Loads whose rows count: ``run, batch, year, month, version`` of the ``newest`` or ``first`` version of each month.
+
+    A version is as old as its first load, whatever month that brought, so late files of an old version do not make it new.
+    Versions that come first in the same load are ordered as numbers, where they are such, and then as text.
+    """
+    age = ledger.groupBy("version").agg(F.min("load").alias("age")).withColumn(
+        "rank", F.struct("age", F.expr("coalesce(try_cast(version AS decimal(38, 9)), -1)"), "version"))
+    pick = {"newest": F.max_by, "first": F.min_by}[keep]
+    known = ledger.join(age, "version")
+    best = known.groupBy("year", "month").agg(pick("version", "rank").alias("version"))
+    return _null_safe(ledger, best, ["year", "month", "version"])
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``left`` that ``right`` has a key for; null equals null."""
+    named = right.select(*[F.col(k).alias(f"_{k}_") for k in keys])
+    same = [left[k].eqNullSafe(F.col(f"_{k}_")) for k in keys]
+    return left.join(named, same, "left_semi")
 
 
 def read_months(spark: SparkSession, path: str, keep: str = "newest") -> DataFrame:
-    """All rows of one version of each month: the ``newest`` (largest name) or the ``first`` that was loaded.
+    """All rows of one version of each month: the ``newest`` that was loaded or the ``first``.
 
-    The choice needs one row per (month, version, batch), which are folder names; the months with their version are
-    broadcast, one short row per calendar month.
+    The choice reads the ledger only, a row per (month, version, batch). Rows of batches without a ledger entry do not count.
     """
-    versions = {"newest": F.max("version"), "first": F.min_by("version", F.struct("batch", "version"))}
-    rows = spark.read.option("basePath", path).parquet(path).withColumn("version", F.col("version").cast("string"))
-    chosen = rows.select(*VERSIONED).distinct().groupBy(*MONTH).agg(versions[keep].alias("version"))
-    return rows.join(F.broadcast(chosen), [*MONTH, "version"], "left_semi").drop("version", "batch")
+    rows = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows").drop("_year", "_month")
+    rows = rows.withColumn("run", F.col("run").cast("string"))
+    wanted = chosen_loads(read_ledger(spark, path), keep)
+    return _null_safe(rows, wanted, ["run", "batch", "year", "month", "version"]).drop("run", "batch", "version")
 
 
 def append_new_months(incoming: DataFrame, path: str) -> None:
