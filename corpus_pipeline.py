@@ -11,8 +11,13 @@ from skyledger.storage import staged
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not rejected. A missing ``lang`` becomes the predicted one."""
-    found = langid.identify(docs, langid.train(docs)).where(~F.col("rejected"))
+    """Documents whose language is not rejected. A missing ``lang`` becomes the predicted one.
+
+    A document with letters whose ``lang`` no model knows, since all its labelled documents are held out, is judged by nobody and stays.
+    """
+    who = langid.train(docs)
+    unknown = F.col("lang").isNotNull() & ~F.col("lang").isin(who.names) & (F.col("lang_pred") != "und")
+    found = langid.identify(docs, who).where(~F.col("rejected") | unknown)
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 

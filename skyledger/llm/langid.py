@@ -5,8 +5,11 @@ order, the sorted hashes of the n-grams it has seen with their interpolated prob
 contexts with their back-off weights. The highest order counts occurrences, lower ones count the distinct
 characters that came before (continuation counts). The language whose model needs the fewest nats per character wins.
 
-Rejection is calibrated: a share of each language's sample is held back, and a text is rejected if its cross-entropy
-exceeds what held-back texts of its length show (mean plus ``MARGIN`` standard deviations, which shrink with length).
+Rejection is calibrated on texts that did not teach the model they are held against: a fifth of each language's sample, and with fewer than five
+texts each one in turn (a single one: its halves in turn). A limit is their mean plus ``MARGIN`` deviations plus ``SLACK``; a
+deviation has one part that shrinks with a text's length and one that does not. Languages with less than ``EVIDENCE`` held-back texts
+take the larger of their own deviations and those of all languages. A text is rejected only if it is beyond the limits of
+all languages, and no text on a limit without held-back evidence.
 
 Every language that occurs gets a model, fitted in a task of its own on a bounded sample: ``sample`` texts, those with the least
 hash of id and text, of a longer one ``STRETCHES`` stretches spread over it that hold ``chars`` characters together. So a model is
@@ -32,7 +35,9 @@ ORDER = 4
 #: Texts per language and characters a text that are learned from at most; stretches of a longer text.
 SAMPLE, SAMPLE_CHARS, STRETCHES = 600, 20_000, 10
 #: Standard deviations above the mean of held-back texts from which a text is rejected.
-MARGIN = 6.0
+MARGIN, SLACK = 6.0, 0.5
+#: Held-back texts from which a language's own deviations count alone; slices in which samples are first cut.
+EVIDENCE, SLICES = 20, 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WEIGHTS = mix(np.arange(1, 9, dtype=np.uint64) * _STEP) | np.uint64(1)
 #: Characters scored at once, and rows turned into Python texts at once: what a worker holds follows from them.
@@ -173,12 +178,13 @@ def _runs(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
 
 @dataclass
 class Identifier:
-    """Models of the languages and the cross-entropy from which each rejects."""
+    """Models of the languages, and what their limits follow from: mean, deviation of a character and deviation of a whole text."""
 
     names: list[str]
     models: list[Model]
     mean: np.ndarray
     spread: np.ndarray
+    between: np.ndarray
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score from 0 to 1 and rejection of each text."""
@@ -191,23 +197,49 @@ class Identifier:
         least = nats[np.arange(len(texts)), best]
         # odds of the best language against all others, over 100 characters at most
         odds = np.exp(-(nats - least[:, None]) * np.minimum(many, 100)[:, None]).sum(axis=1)
-        limit = self.mean[best] + MARGIN * self.spread[best] / np.sqrt(np.maximum(many, 1)) + 0.5
-        rejected = blank | (least > limit)
+        shrinking = self.spread ** 2 / np.maximum(many, 1)[:, None]
+        limits = self.mean + MARGIN * np.sqrt(shrinking + self.between ** 2) + SLACK
+        rejected = blank | (nats > limits).all(axis=1)
         names = ["und" if b else self.names[i] for b, i in zip(blank, best, strict=True)]
         return names, np.where(blank, 0.0, 1.0 / odds), rejected
 
 
-def fit_language(texts: list[str]) -> tuple[Model, float, float] | None:
-    """Model of a language, and mean and spread of its calibration; null without a letter. Every fifth text only calibrates, if there are five."""
-    if not any(any(map(str.isalpha, t)) for t in texts):
+def fit_language(texts: list[str]) -> tuple[Model, np.ndarray, np.ndarray] | None:
+    """Model of a language, and nats and characters of texts held back from it; null without a letter."""
+    texts = [t.lower() for t in texts if any(map(str.isalpha, t))]
+    if not texts:
         return None
-    texts = [t.lower() for t in texts]
-    held = texts[::5] if len(texts) >= 5 else texts
-    model = fit([t for i, t in enumerate(texts) if len(texts) < 5 or i % 5])
-    nats, many = cross_entropies(held, [model])
-    nats, many = nats[many > 0, 0], many[many > 0]
-    centre = float(np.average(nats, weights=many)) if len(nats) else 0.0
-    return model, centre, float(np.sqrt(np.mean((nats - centre) ** 2 * many))) if len(nats) else 0.0
+    if len(texts) >= 5:
+        folds = [range(0, len(texts), 5)]
+    else:
+        if len(texts) == 1:
+            texts = [t for t in (texts[0][: len(texts[0]) // 2], texts[0][len(texts[0]) // 2:]) if any(map(str.isalpha, t))]
+        folds = [[i] for i in range(len(texts))] if len(texts) > 1 else []
+    nats, many = [], []
+    for held in folds:
+        model = fit([t for i, t in enumerate(texts) if i not in held])
+        found, sizes = cross_entropies([texts[i] for i in held], [model])
+        nats.append(found[sizes > 0, 0])
+        many.append(sizes[sizes > 0])
+    return model if len(texts) >= 5 else fit(texts), np.hstack([[], *nats]), np.hstack([[], *many])
+
+
+def deviations(residuals: np.ndarray, many: np.ndarray) -> tuple[float, float]:
+    """Deviation of one character, from the shorter half of texts, and of whole texts, from the longer half."""
+    order = np.argsort(many)
+    short, long = order[: -(-len(order) // 2)], order[len(order) // 2:]
+    return float(np.sqrt(np.mean(residuals[short] ** 2 * many[short]))), float(np.sqrt(np.mean(residuals[long] ** 2)))
+
+
+def identifier(fitted: list[tuple[str, tuple[Model, np.ndarray, np.ndarray]]]) -> Identifier:
+    """Limits of all languages. One without held-back evidence has none: infinite."""
+    centres = [float(np.average(n, weights=m)) if len(n) else np.inf for _, (_, n, m) in fitted]
+    held = [(n - c, m) for (_, (_, n, m)), c in zip(fitted, centres, strict=True) if len(n)]
+    pooled = deviations(*(np.concatenate(x) for x in zip(*held, strict=True))) if held else (0.0, 0.0)
+    own = [deviations(n - c, m) if len(n) else pooled for (_, (_, n, m)), c in zip(fitted, centres, strict=True)]
+    used = [o if len(n) >= EVIDENCE else tuple(map(max, o, pooled)) for o, (_, (_, n, _)) in zip(own, fitted, strict=True)]
+    return Identifier([n for n, _ in fitted], [f[0] for _, f in fitted], np.array(centres),
+                      np.array([u[0] for u in used]), np.array([u[1] for u in used]))
 
 
 def held_out(id: Column) -> Column:
@@ -231,20 +263,26 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_
     """
     rows = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    rows = rows.select("lang", "id", F.xxhash64("id", "text").alias("_hash"), stretched(F.col("text"), chars).alias("text"))
-    order = Window.partitionBy("lang").orderBy("_hash", "id")
-    chosen = rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).select("lang", "_rank", "text")
+    rows = rows.withColumn("_hash", F.xxhash64("id", "text"))
+    # ranks need no text: first within slices, so that no task meets more than a bounded number of rows of a language
+    narrow = rows.select("lang", "id", "_hash", F.pmod("_hash", F.lit(SLICES)).alias("_slice")).distinct()
+    for keys in (["lang", "_slice"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("_hash", "id")
+        narrow = narrow.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample)
+    stage = Stage(df.sparkSession, "langid")
+    chosen = stage.keep(narrow.select("lang", "id", "_hash", "_rank"), "chosen")
+    # a repeated row counts once
+    texts = rows.join(chosen, ["lang", "id", "_hash"]).groupBy("lang", "_rank").agg(F.first("text").alias("text"))
+    texts = texts.withColumn("text", stretched(F.col("text"), chars))
 
     def fitted(part: pd.DataFrame) -> pd.DataFrame:
         found = fit_language(part.sort_values("_rank")["text"].tolist())
         return pd.DataFrame({"lang": [part["lang"].iloc[0]], "fitted": [found and pickle.dumps(found)]})
 
-    stage = Stage(df.sparkSession, "langid")
-    models = stage.keep(chosen.groupBy("lang").applyInPandas(fitted, "lang string, fitted binary"), "models")
+    models = stage.keep(texts.groupBy("lang").applyInPandas(fitted, "lang string, fitted binary"), "models")
     found = sorted((r.lang, bytes(r.fitted)) for r in models.where("fitted IS NOT NULL").toLocalIterator())
-    stage.drop("models")
-    kept = [pickle.loads(x) for _, x in found]
-    return Identifier([n for n, _ in found], [k[0] for k in kept], np.array([k[1] for k in kept]), np.array([k[2] for k in kept]))
+    stage.drop("models", "chosen")
+    return identifier([(n, pickle.loads(x)) for n, x in found])
 
 
 def identify(df: DataFrame, identifier: Identifier, text: str = "text") -> DataFrame:

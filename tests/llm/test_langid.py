@@ -134,3 +134,36 @@ def test_sample_bounds(spark):
     docs = spark.createDataFrame([(i, "abc def" if i % 2 else "xyz " * 9, "en") for i in range(40)], "doc_id long, text string, lang string")
     one, all_ = langid.train(docs, sample=1), langid.train(docs)
     assert len(one.models[0].grams[1]) < len(all_.models[0].grams[1])
+
+
+@pytest.mark.parametrize("many", [1, 2, 3, 4, 6])
+def test_clean_texts_of_small_languages_are_not_rejected(spark, many):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(~F.col("text").contains("!!"))
+    spanish = [r.text for r in docs.where("lang = 'es'").orderBy("doc_id").collect()]
+    rest = [(r.doc_id, r.text, r.lang) for r in docs.where("lang != 'es'").limit(300).collect()]
+    ids = [i for i in range(10**6, 10**6 + 99) if zlib.crc32(str(i).encode()) % 3 != 1][:many]
+    few = [(i, t, "es") for i, t in zip(ids, spanish, strict=False)]
+    who = langid.train(spark.createDataFrame(rest + few, "doc_id long, text string, lang string"))
+    assert "es" in who.names and np.isfinite(who.mean).all()
+    names, _, rejected = who.predict(spanish[many:])
+    assert len(names) > 50 and not rejected.any()
+    assert who.predict(["Это совсем другой язык, которого модель не видела никогда раньше" * 10])[2].all()
+
+
+def test_limits_need_evidence():
+    model, nats, many = langid.fit_language(["a"])
+    assert len(nats) <= 1
+    assert langid.fit_language(["", " 1"]) is None
+    none = langid.identifier([("xx", (model, np.zeros(0), np.zeros(0)))])
+    assert not none.predict(["qqq zzz"])[2].any() and none.predict(["..."])[2].all()
+    short, long = langid.deviations(np.array([2.0, -2.0, 0.5, 0.5]), np.array([4, 4, 400, 400]))
+    assert short == 4 and long == 0.5
+
+
+def test_hot_language_and_repeated_rows_meet_in_no_task(spark):
+    row = (3, "the same text again and again", "en")
+    docs = spark.createDataFrame([row] * 5000 + [(10 + i, f"another text of number {'abcdefghij'[i % 10] * (i % 7 + 1)}", "en") for i in range(400)],
+                                 "doc_id long, text string, lang string")
+    one = langid.train(docs)
+    other = langid.train(docs.distinct())
+    assert one.names == other.names == ["en"] and one.mean[0] == other.mean[0]

@@ -73,3 +73,14 @@ def test_secrets_are_gone(spark):
     out = {r.doc_id: r.text for r in cp.redact_secrets(spark, docs, SF).collect()}
     assert out == {1: "[secret] and [secret]", 2: "clean text"}
     assert cp.redact_secrets(spark, docs.withColumn("text", F.lit(None).cast("string")), SF).where("text is not null").count() == 0
+
+
+def test_a_language_without_a_model_stays(spark):
+    import zlib
+
+    held = next(i for i in range(10**6, 10**6 + 99) if zlib.crc32(str(i).encode()) % 3 == 1)
+    text = "стол и окно и дом на берегу реки"
+    rows = [(i, f"plain words of number {'abcdefg'[i % 7]}", "en", "s", 9) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (held, text, "ru", "s", 9), (held + 300_000, text, None, "s", 9), (held, None, "ru", "s", 0)], DOC)
+    kept = {(r.doc_id, r.lang) for r in cp.keep_known_languages(spark, docs, SF).collect()}
+    assert kept == {(r[0], "en") for r in rows} | {(held, "ru")}
