@@ -178,14 +178,26 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def _sample(rows: DataFrame, sample: int) -> DataFrame:
-    """About ``sample`` different texts of each label: those with the least checksums. Copies of a text count once."""
-    rows = rows.withColumn("_sum", F.crc32(F.md5("text")))
-    many = rows.groupBy("toxic").agg(F.approx_count_distinct("_sum", 0.02).alias("many"))
-    share = many.select("toxic", (F.lit(float(sample)) / F.col("many") * 2**32).alias("below"))
-    chosen = rows.join(share, "toxic").where(F.col("_sum") <= F.col("below"))
-    return chosen.groupBy("toxic", F.md5("text").alias("_key")).agg(F.min("_sum").alias("_sum"), F.first("text").alias("text")).select(
-        "text", "toxic", (F.col("_sum") % FOLDS).cast("int").alias("fold"))
+def _sample(df: DataFrame, labels: DataFrame | None, text: str, toxic: str, id: str, sample: int, stage: Stage) -> DataFrame:
+    """About ``sample`` different texts of each label: those with the least checksums. Copies of a text count once.
+
+    Labels meet checksums, not texts. What is chosen is bounded by ``sample``, so it goes to the texts.
+    """
+    def label(column):
+        return F.col(f"`{column}`").cast("int").alias("toxic")
+
+    rows = df.where(F.col(f"`{text}`").isNotNull()).withColumn("_sum", F.crc32(F.md5(f"`{text}`")))
+    if labels is None:
+        marks = rows.select(label(toxic), "_sum")
+    else:
+        per_id = labels.groupBy(F.col(f"`{id}`").alias("_id")).agg(F.max(label(toxic)).alias("toxic"))
+        marks = rows.select(F.col(f"`{id}`").alias("_id"), "_sum").join(per_id, "_id").select("toxic", "_sum")
+    marks = stage.keep(marks.where(F.col("toxic").isin(0, 1)).distinct(), "marks")
+    many = marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("many"))
+    below = many.select("toxic", (F.lit(float(sample)) / F.col("many") * 2**32).alias("below"))
+    chosen = stage.keep(marks.join(below, "toxic").where(F.col("_sum") <= F.col("below")).select("toxic", "_sum"), "chosen")
+    texts = rows.select(F.col(f"`{text}`").alias("text"), "_sum").join(F.broadcast(chosen), "_sum")
+    return texts.groupBy("toxic", "_sum").agg(F.min("text").alias("text")).select("text", "toxic", (F.col("_sum") % FOLDS).cast("int").alias("fold"))
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,14 +214,15 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         seen.clear()
 
 
-def train(df: DataFrame, text: str = "text", toxic: str = "toxic", sample: int = SAMPLE) -> Model:
+def train(df: DataFrame, labels: DataFrame | None = None, text: str = "text", toxic: str = "toxic", id: str = "doc_id",
+          sample: int = SAMPLE) -> Model:
     """Model of the rows of ``df`` with a label 0 or 1 (others and null texts teach nothing).
 
+    Labels are a column of ``df``, or of ``labels``, which has ids too (an id with several is toxic if one says so).
     Without two kinds of labels every text gets the same score: 1 if only toxic ones were seen, else 0.
     """
     spark, stage = df.sparkSession, Stage(df.sparkSession, "toxicity")
-    rows = df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{toxic}`").cast("int").alias("toxic"))
-    rows = stage.keep(_sample(rows.where(F.col("text").isNotNull() & F.col("toxic").isin(0, 1)), sample).repartition(SAMPLE_PARTS), "sample")
+    rows = stage.keep(_sample(df, labels, text, toxic, id, sample, stage).repartition(SAMPLE_PARTS), "sample")
     sizes = {(r.toxic, r.fold): r["count"] for r in rows.groupBy("toxic", "fold").count().collect()}
     if len({y for y, _ in sizes}) < 2:
         return Model({}, np.zeros(0), np.zeros(0), 0.5, constant=float(any(y for y, _ in sizes)))
@@ -252,7 +265,7 @@ def train(df: DataFrame, text: str = "text", toxic: str = "toxic", sample: int =
     x = np.array([final.evidence(n, s) for n, s in zip(judged["tokens"].to_pylist(), judged["sums"].to_pylist(), strict=True)])
     final.slope, final.offset = fit_logistic(np.arcsinh(x), judged["toxic"].to_numpy().astype(float))
     blind.unpersist()
-    stage.drop("sample", "calibration")
+    stage.drop("marks", "chosen", "sample", "calibration")
     return final
 
 
@@ -281,6 +294,5 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def op12_toxicity(spark, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from four fifths of the labelled ones."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = train(docs.where(~held_out(F.col("doc_id"))).join(labels, "doc_id"))
+    model = train(docs.where(~held_out(F.col("doc_id"))), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "passages")
