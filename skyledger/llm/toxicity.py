@@ -80,6 +80,20 @@ def share_of(chain: list[tuple[float, float]], base: float) -> float:
     return share
 
 
+class _Scores(dict):
+    """Scores of words met so far; a new one is asked of the model."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        self[word] = found = self.model.score_of(word)
+        return found
+
+
 @dataclass
 class Model:
     """Toxic and all texts of each token and stem, share of toxic texts, and the calibration."""
@@ -94,30 +108,38 @@ class Model:
     offset: float = 0.0
     #: Score of every text where labels of one kind only were seen; null otherwise.
     constant: float | None = None
-    known: dict[str, float] = field(default_factory=dict)
+    by_stem: dict[str, float] = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.known = _Scores(self)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "by_stem")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state, by_stem={})
+        self.__post_init__()
 
     def score_of(self, word: str) -> float:
-        found = self.known.get(word)
+        """Log-odds of the word if it was counted, else of its longest counted stem. A counted stem's shorter ones are counted too."""
+        token = word
+        if word not in self.index:
+            low, high = STEM - 1, min(len(word), LONGEST)
+            while low < high:
+                mid = (low + high + 1) // 2
+                low, high = (mid, high) if word[:mid] + "-" in self.index else (low, mid - 1)
+            token = word[:low] + "-" if low >= STEM else ""
+        found = self.by_stem.get(token)
         if found is None:
-            if len(self.known) >= _REMEMBERED:
-                self.known.clear()
-            chain = []
-            for stem in stems(word):
-                at = self.index.get(stem)
-                if at is None:
-                    break
-                chain.append((float(self.toxic[at]), float(self.texts[at])))
-            share = share_of(chain, self.base)
+            chain = stems(token[:-1])[:-1] if token.endswith("-") else stems(token) if token else []
+            at = [self.index[t] for t in chain]
+            share = share_of([(float(self.toxic[i]), float(self.texts[i])) for i in at], self.base)
             found = float(np.log(share / (1 - share)) - np.log(self.base / (1 - self.base)) - DRIFT)
-            self.known[word] = found
+            self.by_stem[token] = found
         return found
 
     def scores(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.fromiter(map(known.__getitem__, words), float, len(words))
-        except KeyError:
-            return np.fromiter(map(self.score_of, words), float, len(words))
+        return np.fromiter(map(self.known.__getitem__, words), float, len(words))
 
     def chance(self, score: float, tokens: int) -> float:
         """Log of the expected number of segments of this score in an ordinary text."""
