@@ -1,7 +1,7 @@
 """Registered queries: features, models, forecast.
 
-Predicted values have no SQL equivalent. So the model queries return what SQL can state of them: the rows they must cover, whether
-each has its predictions, and whether the hold-out error is below that of a seasonal mean.
+Predicted values have no SQL equivalent. Queries with SQL return what it can state of models: the rows they must cover, and whether
+each has its predictions. Measured errors are returned by queries without SQL, which tests hold against brute force.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from skyledger.plans.bindings import with_views
 from skyledger.storage import staged
 
 TREES = forecast.TREES
-#: Hold-out rows from which errors are compared. On some 4,000 training rows 100 trees of depth 6 do not beat a seasonal mean.
-ENOUGH = 5000
 
 
 def prepared(spark, sf):
@@ -94,21 +92,22 @@ def ml_target_fallback(spark, sf):
 
 
 def ml_holdout_metrics(spark, sf):
-    """Hold-out rows with both temperatures, and whether the models' errors are below those of a seasonal mean.
+    """Hold-out errors next to those of a seasonal mean, the interval of their difference and a verdict, at every size."""
+    _, train, test = split(spark, sf)
+    return forecast.holdout_verdict(scored(train, test), train)
 
-    A hold-out of fewer than ``ENOUGH`` rows decides nothing: null.
-    """
+
+def ml_classifier_accuracy(spark, sf):
+    """Hold-out accuracy of the condition model, next to that of always naming the most frequent condition, at every size."""
     _, train, test = split(spark, sf)
-    enough = F.col("rows") >= ENOUGH
-    return forecast.holdout_metrics(scored(train, test), train).select(
-        "rows", F.when(enough, F.col("rmse_max") < F.col("seasonal_rmse_max")).alias("max_beats_seasonal"),
-        F.when(enough, F.col("rmse_min") < F.col("seasonal_rmse_min")).alias("min_beats_seasonal"))
+    coded = staged(forecast.score(forecast.train_classifier(train, TREES), test, "_condition_code"), "coded")
+    return forecast.condition_accuracy(coded, train)
 
 
 def ml_holdout_errors(spark, sf):
     """Hold-out rows, the errors of models and seasonal mean, and whether the models' are smaller, at every size.
 
-    Null only without a hold-out row. No SQL can state these values; ``ml_holdout_metrics`` has the part that its SQL states.
+    Null only without a hold-out row. No SQL can state these values.
     """
     _, train, test = split(spark, sf)
     return forecast.holdout_metrics(scored(train, test), train).withColumns({
@@ -121,6 +120,7 @@ QUERIES = {
     "ml_train_classifier": ml_train_classifier, "ml_future_grid": ml_future_grid,
     "ml_predict_decode": ml_predict_decode, "ml_target_fallback": ml_target_fallback,
     "ml_holdout_metrics": ml_holdout_metrics, "ml_holdout_errors": ml_holdout_errors,
+    "ml_classifier_accuracy": ml_classifier_accuracy,
 }
 
 # Cleaning of the merged table: keys are unique already.
@@ -154,8 +154,6 @@ FROM prepared WHERE held GROUP BY condition_encoded""", "merged"),
     "ml_predict_decode": with_views(f"""{PREPARED} SELECT governorate,
   CAST((SELECT max(date) FROM prepared) + CAST(n AS INTEGER) AS DATE) AS date, true AS both_predicted, true AS condition_known
 FROM (SELECT DISTINCT governorate FROM prepared), range(1, 181) r(n)""", "merged"),
-    "ml_holdout_metrics": with_views(f"""{PREPARED} SELECT count(*) AS rows, CASE WHEN count(*) >= {ENOUGH} THEN true END AS max_beats_seasonal,
-  CASE WHEN count(*) >= {ENOUGH} THEN true END AS min_beats_seasonal FROM prepared WHERE held""", "merged"),
     "ml_target_fallback": with_views("""SELECT id, avg_max_temp AS target_max, avg_min_temp AS target_min,
   max_temp AS plain_target_max, min_temp AS plain_target_min FROM merged""", "merged"),
 }

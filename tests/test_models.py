@@ -113,7 +113,7 @@ def test_forecast_of_one_place(spark):
 
 
 def test_holdout_errors_at_a_small_size(spark, monkeypatch):
-    """Under ``ENOUGH`` rows too, errors and comparisons are those of brute force."""
+    """Errors and comparisons are those of brute force."""
     from skyledger.plans import models
 
     df = ready(spark)
@@ -131,10 +131,63 @@ def test_holdout_errors_at_a_small_size(spark, monkeypatch):
         same = [p[column] for p in past if (p.city_encoded, p.month) == (r.city_encoded, r.month)] or [p[column] for p in past]
         return sum(same) / len(same)
 
-    assert got.rows == len(rows) < models.ENOUGH
+    assert got.rows == len(rows)
     for side in ("max", "min"):
         column = f"avg_{side}_temp"
         own, base = rmse([(r[f"predicted_{side}_temp"], r[column]) for r in rows]), rmse([(seasonal(r, column), r[column]) for r in rows])
         assert got[f"rmse_{side}"] == pytest.approx(own) and got[f"seasonal_rmse_{side}"] == pytest.approx(base)
         assert got[f"{side}_beats_seasonal"] is (own < base)
     assert got.max_beats_seasonal and not got.min_beats_seasonal
+
+
+def test_holdout_verdict_is_a_bootstrap_by_day(spark):
+    import random
+
+    from skyledger.operators.features import split_chronological
+
+    df = ready(spark)
+    train, test = split_chronological(df)
+    guess = test.withColumns({"predicted_max_temp": F.col("avg_max_temp") + F.dayofmonth("date") % 4, "predicted_min_temp": F.col("avg_min_temp") + 100})
+    got = forecast.holdout_verdict(guess, train).first()
+    assert got == forecast.holdout_verdict(guess.repartition(5), train).first()
+    assert (got.verdict_max, got.verdict_min) == ("better", "worse") and got.low_max <= got.difference_max <= got.high_max
+    rows = forecast.with_seasonal(guess, train).collect()
+    days = sorted({r.date for r in rows})
+    per = {d: [(r.predicted_max_temp - r.avg_max_temp) ** 2 for r in rows if r.date == d] for d in days}
+    base = {d: [(r._high - r.avg_max_temp) ** 2 for r in rows if r.date == d] for d in days}
+    rng, found = random.Random(1), []
+    for _ in range(4000):
+        chosen = [d for d in rng.choices(days, k=len(days))]
+        own, mean = ([x for d in chosen for x in part[d]] for part in (per, base))
+        found.append((sum(own) / len(own)) ** 0.5 - (sum(mean) / len(mean)) ** 0.5)
+    found.sort()
+    width = found[3900] - found[100]
+    assert got.low_max == pytest.approx(found[100], abs=0.35 * width) and got.high_max == pytest.approx(found[3900], abs=0.35 * width)
+    same = guess.withColumn("predicted_max_temp", F.col("avg_max_temp") + F.when(F.dayofmonth("date") % 2 == 0, 9).otherwise(0))
+    assert forecast.holdout_verdict(same, train).first().verdict_max in ("open", "better", "worse")
+    assert forecast.holdout_verdict(guess.limit(0), train).first().verdict_max is None
+
+
+def test_poisson_weights(spark):
+    w = spark.range(200_000).select(forecast.poisson_one((F.col("id") + 0.5) / 200_000).alias("w")).groupBy("w").count().collect()
+    share = {r.w: r["count"] / 200_000 for r in w}
+    assert share[0] == pytest.approx(0.36788, abs=1e-3) and share[1] == pytest.approx(0.36788, abs=1e-3) and share[3] == pytest.approx(0.06131, abs=1e-3)
+    assert sum(k * v for k, v in share.items()) == pytest.approx(1, abs=1e-3)
+
+
+def test_boosting_of_several_classes_beats_the_most_frequent_one(spark):
+    kinds = ["clear", "fog", "rain", "storm"]
+    rows = [("Cairo" if i % 2 else "Luxor", DAY + timedelta(days=i), 20.0 + i % 30, 10.0, float((7 * i) % 40), kinds[((7 * i) % 40) // 10 ^ (i % 2)]) for i in range(400)]
+    df = features.prepare(spark.createDataFrame(
+        rows, "governorate string, date date, avg_max_temp double, avg_min_temp double, temp_range double, condition string"))
+    train, test = features.split_chronological(df)
+    coded = forecast.score(forecast.train_classifier(train, trees=4), test, "_condition_code").cache()
+    got = forecast.condition_accuracy(coded, train).first()
+    pairs = [(r.condition_encoded, r._condition_code) for r in coded.collect()]
+    codes = [r.condition_encoded for r in train.collect()]
+    most = min(set(codes), key=lambda c: (-codes.count(c), c))
+    assert got.rows == len(pairs) == 80 and got.accuracy == pytest.approx(sum(a == b for a, b in pairs) / 80)
+    assert got.most_frequent_accuracy == pytest.approx(sum(a == most for a, _ in pairs) / 80)
+    assert got.accuracy > 0.8 and got.beats_most_frequent
+    one = forecast.train_classifier(train.withColumn("condition_encoded", F.lit(0)), trees=2)
+    assert {r._condition_code for r in forecast.score(one, test, "_condition_code").collect()} == {0.0}
