@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import ahocorasick
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.text import date_in_text
@@ -17,19 +19,54 @@ DEFAULT_SUGGESTION = "What data is available?"
 ROWS_PER_ANSWER = 5
 #: Leading characters of a name by which texts find it.
 HEAD = 4
+#: Bytes of names up to which an automaton is sent to all executors.
+NAMES_BYTES = 16 << 20
+
+
+def _first_place(spark: SparkSession, automaton: ahocorasick.Automaton, names: list[str]):
+    """Pandas function over lower-cased texts: the first of ``names`` that occurs, in one pass over each text."""
+    sent = spark.sparkContext.broadcast((automaton, names))
+
+    @F.pandas_udf("string")
+    def find(texts: pd.Series) -> pd.Series:
+        machine, spelled = sent.value
+        if not spelled:
+            return pd.Series([None] * len(texts), dtype=object)
+        first = [None if t is None else min((n for _, n in machine.iter(t)), default=None) for t in texts]
+        return pd.Series([None if n is None else spelled[n] for n in first], dtype=object)
+
+    return find
 
 
 def places_in_text(questions: DataFrame, places: DataFrame, name: str = "asked_place",
-                   text: str = "question") -> DataFrame:
+                   text: str = "question", limit: int = NAMES_BYTES) -> DataFrame:
     """Adds the alphabetically first known place whose name occurs in the text, in any case.
 
+    Distinct names make an automaton (a trie with failure links), which reads each text once, whatever the number of names, and
+    shuffles nothing. It is sent to all executors, so their total bytes are checked first; names of more than ``limit``
+    bytes meet the texts in a join instead, with the same result.
+    """
+    names = staged(
+        places.select(F.col("governorate").alias("_name"), F.lower("governorate").alias("_lower"))
+        .where(F.length("_lower") > 0).groupBy("_lower").agg(F.min("_name").alias("_name")), "names")
+    if (names.agg(F.sum(F.octet_length("_name") + F.octet_length("_lower"))).first()[0] or 0) > limit:
+        return _places_by_join(questions, names, name, text)
+    automaton = ahocorasick.Automaton()
+    spelled = sorted((r["_name"], r["_lower"]) for r in names.collect())
+    for number, (_, lower) in enumerate(spelled):
+        automaton.add_word(lower, number)
+    automaton.make_automaton()
+    return questions.withColumn(name, _first_place(questions.sparkSession, automaton, [n for n, _ in spelled])(F.lower(text)))
+
+
+def _places_by_join(questions: DataFrame, names: DataFrame, name: str, text: str) -> DataFrame:
+    """The same for names of any number.
+
     Each distinct text gets a number. Its distinct pieces of up to ``HEAD`` characters travel with that number,
     never with the text, and meet the heads of names in an equality join; the names found are then looked for
     in the text itself. The work grows with the text, not with its square or with texts times places.
     """
-    names = staged(
-        places.select(F.col("governorate").alias("_name"), F.lower("governorate").alias("_lower"))
-        .where(F.length("_lower") > 0).distinct().withColumn("_head", F.substring("_lower", 1, HEAD)), "names")
+    names = names.withColumn("_head", F.substring("_lower", 1, HEAD))
     sizes = names.agg(F.collect_set(F.length("_head"))).scalar()
     texts = staged(questions.select(text).where(F.col(text).isNotNull()).distinct().withColumn(
         "_id", F.monotonically_increasing_id()), "texts")

@@ -191,3 +191,25 @@ def test_boosting_of_several_classes_beats_the_most_frequent_one(spark):
     assert got.accuracy > 0.8 and got.beats_most_frequent
     one = forecast.train_classifier(train.withColumn("condition_encoded", F.lit(0)), trees=2)
     assert {r._condition_code for r in forecast.score(one, test, "_condition_code").collect()} == {0.0}
+
+
+def test_a_day_with_one_place_is_split_evenly_and_reproducibly(spark):
+    """Most rows are of one day and place: 900 different ones and 300 copies of one row, beside other days and places."""
+    from skyledger.operators.features import mark_split
+
+    rows = [(date(2024, 1, 1), "a", i) for i in range(20)] + [(date(2024, 1, 2), p, i) for p in ("b", None, "z") for i in range(5)]
+    hot = [(date(2024, 1, 2), "h", i) for i in range(900)] + [(date(2024, 1, 2), "h", -1)] * 300
+    df = spark.createDataFrame(rows + hot + [(date(2024, 1, 3), "a", 1), (None, "a", 2)], "date date, governorate string, v int")
+    n, seen = len(rows) + len(hot) + 2, []
+    for share in (0.05, 0.5, 0.77, 1.0):
+        for parts in (2, 7):
+            marked = mark_split(df.repartition(parts), share)
+            assert marked.count() == n
+            train = sorted((tuple(r)[:3] for r in marked.where("is_train").collect()), key=str)
+            assert len(train) == max(1, n - ceil(share * n))  # the row without a day trains
+            seen.append(train)
+        assert seen[-1] == seen[-2]
+        early = {r[1] for r in seen[-1] if r[0] == date(2024, 1, 2)}
+        assert "z" not in early or {"b", "h", None} <= early
+    copies = spark.createDataFrame([(date(2024, 1, 1), "a", 1)] * 3_500, "date date, governorate string, v int")
+    assert mark_split(copies, 0.3).where("is_train").count() == 2_450

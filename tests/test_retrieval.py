@@ -60,8 +60,16 @@ def test_places_against_brute_force(spark):
     texts = ["abcab", "xx", "", "CAB", "bcab", "ÉéÉ A", "straße", "aaaa", "b"] * 2
     q = spark.createDataFrame(list(enumerate(texts)), "question_id int, question string")
     places = spark.createDataFrame([(n,) for n in names], "governorate string")
-    got = {r["question_id"]: r["asked_place"] for r in retrieval.places_in_text(q, places).collect()}
-    assert got == {i: min((n for n in names if n.lower() in t.lower()), default=None) for i, t in enumerate(texts)}
+    for limit in (retrieval.NAMES_BYTES, 0):  # an automaton, and a join for names of any number
+        got = {r["question_id"]: r["asked_place"] for r in retrieval.places_in_text(q, places, limit=limit).collect()}
+        assert got == {i: min((n for n in names if n.lower() in t.lower()), default=None) for i, t in enumerate(texts)}
+    assert {r["asked_place"] for r in retrieval.places_in_text(q, places.limit(0)).collect()} == {None}
+
+
+def test_places_shuffle_no_text(spark, table):
+    q = spark.createDataFrame([(1, "Giza")], "question_id int, question string")
+    plan = retrieval.places_in_text(q, table.select("governorate"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_optional_predicates(spark, table):
