@@ -35,18 +35,6 @@ def read_typed_csv(spark: SparkSession, path: str, ddl: str, keep_corrupt: bool
     )
 
 
-def read_multiline_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Text CSV whose quoted fields may hold line breaks and doubled quotes.
-
-    A file is one task, since a quoted break cannot be told from a row's end without reading from the
-    start. So a long log has to come as many files; ``write_clean_csv`` writes one per partition.
-    """
-    return (
-        spark.read.option("header", True).option("multiLine", True).option("quote", '"')
-        .option("escape", '"').csv(path)
-    )
-
-
 def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first line of a file, out of the lines of one piece of it; nothing of later pieces. The rest is not read."""
     for batch in batches:
@@ -239,7 +227,8 @@ def read_multiline_csv(spark: SparkSession, path: str | list[str], size: int = P
     if not groups:
         return spark.read.option("header", True).csv(path)
     return union_all([
-        quoted_records(spark, paths, size).select(F.regexp_replace(F.regexp_replace("record", r"\r$", ""), "\r\n", "\n").alias("record")).where("record != ''")
+        quoted_records(spark, paths, size)
+        .select(F.regexp_replace(F.regexp_replace("record", r"\r$", ""), "\r\n", "\n").alias("record")).where("record != ''")
         .select(F.from_csv("record", ddl(names), {"escape": '"', "multiLine": "true"}).alias("row")).select("row.*")
         for names, paths in groups.items()])
 
