@@ -127,24 +127,58 @@ def candidates(index: DataFrame, keys: list[str], rules: tuple[Rule, ...]) -> Da
     return met.groupBy(*keys).agg(F.bit_or("rule").alias("rules"))
 
 
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+#: Matches of one text that are added up together.
+BLOCK = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of ``value``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _in_blocks(items: Column, start: int, after, result, empty: str) -> Column:
+    """``result(block, state)`` of each block of ``items``, joined. ``after(block, state)`` is the state behind a block, an int.
+
+    State arrays grow by copies, so one over all matches of a text would be quadratic; blocks keep that cost constant for each match.
+    """
+    def cut(all_: Column) -> Column:
+        return F.when(F.size(all_) > 0, F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), lambda b: F.slice(all_, b * BLOCK + 1, BLOCK)))
+
+    def states(blocks: Column) -> Column:
+        kind = "struct<at:int,out:array<int>>"
+        begin = F.struct(F.lit(start).alias("at"), F.array().cast("array<int>").alias("out")).cast(kind)
+        return F.aggregate(blocks, begin, lambda s, b: F.struct(
+            after(b, s["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")).cast(kind), lambda s: s["out"])
+
+    joined = _bound(items, lambda all_: _bound(cut(all_), lambda blocks: F.flatten(F.zip_with(blocks, states(blocks), result))))
+    return F.coalesce(joined, F.array().cast(empty))
+
+
 def _spans(text: Column, rule: Rule, number: int) -> Column:
     """Spans of one rule: (start, kind number, end). Pieces between matches and matches alternate."""
     pattern = F.lit(rule.scan or rule.pattern)
     pieces = F.split(text, rule.scan or rule.pattern, -1)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     judged = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    kind = "struct<at:int,out:array<struct<start:int,kind:int,end:int>>>"
+    kind = f"struct<at:int,out:{SPANS}>"
+
+    def size(x: Column) -> Column:
+        return F.char_length(x["piece"]) + F.coalesce(F.char_length(x["whole"]), F.lit(0))
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + F.char_length(x["piece"])
-        end = start + F.coalesce(F.char_length(x["whole"]), F.lit(0))
+        end = state["at"] + size(x)
         good = x["whole"].isNotNull() & (F.char_length(x["judged"]) >= rule.least)
         span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(good, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out")).cast(kind)
 
+    def of_block(block: Column, at: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), F.array().cast(SPANS).alias("out")).cast(kind), step, lambda s: s["out"])
+
     zipped = F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), judged.alias("judged"))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out")).cast(kind)
-    return F.aggregate(zipped, begin, step, lambda s: s["out"])
+    return _in_blocks(zipped, 0, lambda block, at: at + F.aggregate(block, F.lit(0), lambda n, x: n + size(x)), of_block, SPANS)
 
 
 def scan(df: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -170,25 +204,30 @@ def scan(df: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text: str = "text
         asked = F.lit(True) if everywhere else F.col("rules").bitwiseAND(F.lit(1 << number)) != 0
         hit = asked & F.rlike(content, F.lit(rule.scan or rule.pattern))
         parts.append(F.when(hit, _spans(content, rule, number)).otherwise(
-            F.array().cast("array<struct<start:int,kind:int,end:int>>")))
+            F.array().cast(SPANS)))
     columns = [F.col(f"`{c}`") for c in df.columns]
     return joined.select(*columns, F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with every stretch that spans cover replaced by ``mark``; stretches that overlap become one."""
-    kind = "struct<at:int,out:string>"
-
-    def step(state: Column, s: Column) -> Column:
-        apart = (s["start"] > state["at"]) | (state["at"] == 0)
-        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(apart, F.concat(state["out"], between, F.lit(mark))).otherwise(state["out"]).alias("out")).cast(kind)
-
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(kind)
-    done = F.aggregate(spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.lit(2**31 - 1))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    kind = "struct<at:int,out:array<string>>"
+
+    def after(block: Column, at: Column) -> Column:
+        return F.aggregate(block, at, lambda n, s: F.greatest(n, s["end"]))
+
+    def of_block(block: Column, at: Column) -> Column:
+        # a place in a text is found by counting from its front, so each block counts in its own stretch
+        return _bound(F.substring(text, at + 1, after(block, at) - at), lambda own: F.aggregate(
+            block, F.struct(at.alias("at"), F.array().cast("array<string>").alias("out")).cast(kind), lambda state, s: F.struct(
+                F.greatest(state["at"], s["end"]).alias("at"),
+                F.when((s["start"] > state["at"]) | (state["at"] == 0), F.concat(state["out"], F.array(
+                    F.substring(own, state["at"] - at + 1, s["start"] - state["at"]), F.lit(mark)))).otherwise(state["out"]).alias("out")
+            ).cast(kind), lambda state: state["out"]))
+
+    pieces = _in_blocks(spans, 0, after, of_block, "array<string>")
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.lit(2**31 - 1))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
 
 
 def spelled(spans: Column, rules: tuple[Rule, ...] = BASE + MORE) -> Column:

@@ -77,17 +77,20 @@ def mine(labelled: DataFrame, stage: Stage, support: float = SUPPORT, confidence
     """Rules from ``labelled`` (url, label): ``tokens, label, seen, confidence, key``; the key is the rarest token.
 
     Rows without url or label teach nothing. A rule's confidence is the lower bound of the Wilson interval, so few
-    sightings alone make no rule. Rules are few: each holds a share ``support`` of all labelled urls.
+    sightings alone make no rule. Rules are few: each holds a share ``support`` of all labelled urls. Tokens that are always together are
+    mined as one, so any number of them costs no more than one.
     """
     none = F.lit(None).cast("string")
     rows = stage.keep(labelled.where(F.col("url").isNotNull() & F.col("label").isNotNull()).select(
-        "label", tokens(F.col("url")).alias("tokens")), "labelled")
-    shape = "tokens array<string>, label string, seen long, confidence double, key string"
+        F.monotonically_increasing_id().alias("row"), "label", tokens(F.col("url")).alias("tokens")), "labelled")
     n = rows.count()
     if not n:
         return labelled.select(F.array(none).alias("tokens"), none.alias("label"), F.lit(0).cast("long").alias("seen"),
                                F.lit(0.0).alias("confidence"), none.alias("key")).where(F.lit(False))
-    items = rows.select(F.concat("tokens", F.array(F.concat(F.lit("="), F.col("label")))).alias("items"))
+    same = stage.keep(_always_together(rows, support * n), "same")
+    merged = rows.select("row", F.explode("tokens").alias("token")).join(same, "token").groupBy("row").agg(F.collect_set("class").alias("classes"))
+    items = rows.join(merged, "row", "left").select(F.concat(F.coalesce("classes", F.array().cast("array<string>")), F.array(
+        F.concat(F.lit("="), F.col("label")))).alias("items"))
     sets = stage.keep(FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(items).freqItemsets, "itemsets")
     is_label = lambda x: F.startswith(x, F.lit("="))
     split = sets.select(
@@ -106,10 +109,34 @@ def mine(labelled: DataFrame, stage: Stage, support: float = SUPPORT, confidence
         F.array_except("tokens", F.array("out")).alias("tokens"))
     idle = less.join(good, ["tokens", "label"]).where("confidence >= own").select(F.col("full").alias("tokens"), "label").distinct()
     rules = good.join(idle, ["tokens", "label"], "left_anti")
-    rare = rules.select("tokens", "label", F.explode("tokens").alias("token")).join(
-        whole.where("size(tokens) = 1").select(F.col("tokens")[0].alias("token"), "all"), "token").groupBy("tokens", "label").agg(
-        F.min_by("token", F.struct("all", "token")).alias("key"))
-    return stage.keep(rules.join(rare, ["tokens", "label"]).select("tokens", "label", "seen", "confidence", "key"), "rules")
+    # of tokens that are always together a rule holds one: with two it would be idle. So each choice of one for each class is a rule
+    members = rules.select("tokens", "label", "seen", "confidence", F.explode("tokens").alias("class")).join(
+        same.groupBy("class").agg(F.collect_list("token").alias("members"), F.first("all").alias("all")), "class")
+    choices = members.groupBy("tokens", "label", "seen", "confidence").agg(F.collect_list(
+        F.transform("members", lambda t: F.struct(F.col("all"), t.alias("token")))).alias("members"))
+    pair = "array<array<struct<all:bigint,token:string>>>"
+    chosen = F.aggregate("members", F.array(F.array()).cast(pair), lambda found, more: F.flatten(F.transform(
+        found, lambda x: F.transform(more, lambda t: F.concat(x, F.array(t))))))
+    return stage.keep(choices.select("label", "seen", "confidence", F.explode(chosen).alias("x")).select(
+        F.array_sort(F.transform("x", lambda t: t["token"])).alias("tokens"), "label", "seen", "confidence",
+        F.array_min("x")["token"].alias("key")), "rules")
+
+
+def _always_together(rows: DataFrame, least: float) -> DataFrame:
+    """``token, class, all``: tokens in at least ``least`` rows, the first token that is in exactly the same rows, and their number.
+
+    Mining grows with the subsets of tokens that come together, so tokens that always do are mined as one. Equal counts and sums
+    of row hashes propose a class; it stands if no row has some but not all of its tokens.
+    """
+    each = rows.select("row", F.explode("tokens").alias("token"))
+    code = F.xxhash64("row")
+    counted = each.groupBy("token").agg(F.count(F.lit(1)).alias("all"), F.sum(code.cast("decimal(20,0)")).alias("sum"), F.bit_xor(code).alias("xor"))
+    classes = counted.where(F.col("all") >= least).groupBy("all", "sum", "xor").agg(F.collect_set("token").alias("members")).select(
+        F.array_min("members").alias("class"), F.size("members").alias("size"), "all", "members")
+    proposed = classes.select("class", "size", "all", F.explode("members").alias("token"))
+    broken = each.join(proposed.where("size > 1"), "token").groupBy("row", "class", "size").agg(F.count(F.lit(1)).alias("n")).where(
+        "n != size").select("class", F.lit(True).alias("broken")).distinct()
+    return proposed.join(broken, "class", "left").select("token", F.when(F.col("broken"), F.col("token")).otherwise(F.col("class")).alias("class"), "all")
 
 
 def judge(df: DataFrame, labelled: DataFrame, url: str = "url", rules: tuple[Listed, ...] = LISTED) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -97,3 +98,18 @@ def test_rule_with_a_long_literal(spark):
         docs = spark.createDataFrame([(1, "x " + literal + " y"), (2, literal[:-1])], "doc_id long, text string")
         got = {r.doc_id: [tuple(s) for s in r.spans] for r in ss.scan(docs, (rule,)).collect()}
         assert got == {1: [(2, 0, 2 + n)], 2: []}
+
+
+def test_texts_with_thousands_of_secrets_take_linear_time(spark):
+    def seconds(n):
+        text = "".join(f"token=abc{i:06d} ü AKIA{'B' * 16}{i}\n" for i in range(n // 2))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        r = ss.scan(docs).select("spans", ss.redacted(F.col("text"), F.col("spans")).alias("clean")).first()
+        took = time.perf_counter() - start
+        assert [tuple(s) for s in r.spans] == plain(text) and len(r.spans) == n // 2 * 2
+        assert r.clean == "[secret] ü [secret]\n" * (n // 2)
+        return took
+
+    seconds(600)
+    assert seconds(25_600) < 2.5 * max(1, seconds(12_800))

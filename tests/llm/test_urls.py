@@ -101,3 +101,15 @@ def test_rules_of_every_size_equal_brute_force(spark):
     assert got == want and {len(ts) for ts, x in got if x == "block"} >= {6}
     fresh = spark.createDataFrame([("http://ha.ta/pa/qa/ra?sa=2",), ("http://ha.ta/pa/qa/rb?sa=2",)], "url string")
     assert {r.url[-7:-5]: r.verdict for r in urls.judge(fresh, df, rules=()).collect()} == {"ra": "block", "rb": "allow"}
+
+
+def test_tokens_that_are_always_together_are_mined_as_one(spark):
+    """25 query names of one form, which every url of a bad shop has: one rule each, as by brute force over all pairs, in seconds."""
+    names = [f"n{chr(97 + i)}" for i in range(25)]
+    rows = [("http://shop.aa/buy?" + "&".join(f"{n}=1" for n in names), "block")] * 8
+    rows += [("http://news.aa/read", "allow")] * 900 + [("http://shop.aa/buy?na=1&x=2", "allow")] * 100
+    df = spark.createDataFrame(rows, "url string, label string")
+    got = {(tuple(r.tokens), r.label): (r.seen, r.key) for r in urls.mine(df, Stage(spark, "test"), confidence=0.6).collect()}
+    block = {k: v for k, v in got.items() if k[1] == "block"}
+    assert block == {((f"q:{n}",), "block"): (8, f"q:{n}") for n in names[1:]}
+    assert {t for t, x in got if x == "allow"} >= {("p:read",), ("h2:news",), ("q:x",)}
