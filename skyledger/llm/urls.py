@@ -88,9 +88,10 @@ def mine(labelled: DataFrame, stage: Stage, support: float = SUPPORT, confidence
         return labelled.select(F.array(none).alias("tokens"), none.alias("label"), F.lit(0).cast("long").alias("seen"),
                                F.lit(0.0).alias("confidence"), none.alias("key")).where(F.lit(False))
     same = stage.keep(_always_together(rows, support * n), "same")
-    merged = rows.select("row", F.explode("tokens").alias("token")).join(same, "token").groupBy("row").agg(F.collect_set("class").alias("classes"))
-    items = rows.join(merged, "row", "left").select(F.concat(F.coalesce("classes", F.array().cast("array<string>")), F.array(
-        F.concat(F.lit("="), F.col("label")))).alias("items"))
+    # only the few frequent tokens meet the rows; rows without any stay
+    merged = rows.select("row", "label", F.explode_outer("tokens").alias("token")).join(same, "token", "left").groupBy("row", "label").agg(
+        F.collect_set("class").alias("classes"))
+    items = merged.select(F.concat("classes", F.array(F.concat(F.lit("="), F.col("label")))).alias("items"))
     sets = stage.keep(FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(items).freqItemsets, "itemsets")
     is_label = lambda x: F.startswith(x, F.lit("="))
     split = sets.select(
