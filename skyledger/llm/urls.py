@@ -135,7 +135,8 @@ def _always_together(rows: DataFrame, least: float) -> DataFrame:
     classes = counted.where(F.col("all") >= least).groupBy("all", "sum", "xor").agg(F.collect_set("token").alias("members")).select(
         F.array_min("members").alias("class"), F.size("members").alias("size"), "all", "members")
     proposed = classes.select("class", "size", "all", F.explode("members").alias("token"))
-    broken = each.join(proposed.where("size > 1"), "token").groupBy("row", "class", "size").agg(F.count(F.lit(1)).alias("n")).where(
+    # frequent tokens are at most the tokens of a url over the support, however many rows there are
+    broken = each.join(F.broadcast(proposed.where("size > 1")), "token").groupBy("row", "class", "size").agg(F.count(F.lit(1)).alias("n")).where(
         "n != size").select("class", F.lit(True).alias("broken")).distinct()
     return proposed.join(broken, "class", "left").select("token", F.when(F.col("broken"), F.col("token")).otherwise(F.col("class")).alias("class"), "all")
 
