@@ -5,13 +5,17 @@ statistics: at every token the longest run of tokens ending there that occurs in
 
 - the places of the base phrases: a phrase ends at a token if its own state is the current one or
   lies on its suffix links, and the match is as long as the phrase;
-- for each template, the long matches (``SEED`` tokens or more), chained in text order where template positions go on too.
-  A chain that covers at least ``COVER`` of a template is a licence span; its coverage is the score.
+- for each template, all runs of ``SEED`` tokens or more that it shares with the text and that neither go on to the left nor to the
+  right. Their shorter ones lie on the suffix links. A chain takes runs in text order where places in the template go on too, skips any
+  others, and counts the tokens of a run that are new in both; a dynamic programme finds the best chain that ends with each run.
+  A chain that covers at least ``COVER`` of a template is a licence span; its coverage is the score. Of chains of one template that
+  overlap in the text, the one that covers most stays (then the shortest, then the first).
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,8 +41,8 @@ TEMPLATES = {
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
                  "following conditions are met",
 }
-#: Tokens of a match that counts for a chain, the share of a template that a chain must cover, and the tokens
-#: of text that may lie between two matches of a chain.
+#: Tokens of a run that counts for a chain, the share of a template that a chain must cover, and the tokens of text that may lie
+#: between two runs of a chain: so many, or half of the template's tokens if those are more.
 SEED, COVER, GAP = 3, 0.8, 8
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,27 +53,27 @@ def words(text: str) -> list[str]:
 
 
 class Automaton:
-    """Suffix automaton of several token sequences. A state knows where (sequence, end) its strings end first in each sequence."""
+    """Suffix automaton of several token sequences. A state knows all places (sequence, end) where its strings end, and the first ones."""
 
     def __init__(self, sequences: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.places: list[list[tuple[int, int]]] = [[]]
         for number, sequence in enumerate(sequences):
             last = 0
             for at, token in enumerate(sequence):
                 last = self._extend(last, token)
-                self.ends[last].setdefault(number, at + 1)
+                self.places[last].append((number, at + 1))
         for state in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
-            up = self.ends[self.link[state]]
-            for number, end in self.ends[state].items():
-                up[number] = min(end, up.get(number, end))
+            if self.link[state]:
+                self.places[self.link[state]] += self.places[state]
+        self.ends: list[dict[int, int]] = [dict(sorted(places, reverse=True)) for places in self.places]
 
     def _state(self, length: int, link: int, onward: dict[int, int]) -> int:
         self.next.append(onward)
         self.link.append(link)
         self.length.append(length)
-        self.ends.append({})
+        self.places.append([])
         return len(self.link) - 1
 
     def _extend(self, last: int, token: int) -> int:
@@ -87,7 +91,6 @@ class Automaton:
 
     def _clone(self, last: int, token: int, old: int) -> int:
         copy = self._state(self.length[last] + 1, self.link[old], dict(self.next[old]))
-        self.ends[copy] = dict(self.ends[old])
         self.link[old] = copy
         while last >= 0 and self.next[last].get(token) == old:
             self.next[last][token] = copy
@@ -114,7 +117,7 @@ class Scanner:
     """Phrases and templates compiled for texts."""
 
     def __init__(self, phrases: dict[str, str], templates: dict[str, str], seed: int = SEED, cover: float = COVER, gap: int = GAP):
-        self.seed, self.cover, self.gap = seed, cover, gap
+        self.seed, self.cover = seed, cover
         self.ids: dict[str, int] = {}
         phrase_words, template_words = ([words(t) for t in x] for x in (phrases, templates.values()))
         if not all(phrase_words + template_words):
@@ -123,7 +126,11 @@ class Scanner:
         self.labels = list(phrases.values())
         self.templates = list(templates)
         self.sizes = [len(x) for x in coded[len(phrases):]]
+        self.gaps = [max(gap, size // 2) for size in self.sizes]
         self.automaton = Automaton(coded)
+        # templates that go on after each place of a state, with the token that comes there (none at an end)
+        self.onward = [[(number - len(phrases), end, (*coded[number], -1)[end]) for number, end in places if number >= len(phrases)]
+                       for places in self.automaton.places]
         home: dict[int, list[int]] = {}
         for number, sequence in enumerate(coded[: len(phrases)]):
             home.setdefault(self.automaton.find(sequence), []).append(number)
@@ -138,54 +145,73 @@ class Scanner:
         tokens = words(text)
         get, auto = self.ids.get, self.automaton
         coded = [get(w) for w in tokens]
-        places, matches = [], []
+        places, runs = [], []
         state = matched = 0
         for at, token in enumerate(coded):
+            if matched >= self.seed:
+                self._ended(at, state, matched, token, runs)
             if token is None:
-                if matched >= self.seed:
-                    matches.append((at, matched, state))
                 state = matched = 0
                 continue
-            after, grown = auto.step(state, matched, token)
-            if matched >= self.seed and grown != matched + 1:
-                matches.append((at, matched, state))
-            state, matched = after, grown
+            state, matched = auto.step(state, matched, token)
             for number in self.phrases[state]:
                 if matched >= self.lengths[number]:
                     places.append((at + 1 - self.lengths[number], self.labels[number]))
         if matched >= self.seed:
-            matches.append((len(coded), matched, state))
-        return {"n_words": len(tokens), "places": sorted(places), "spans": self._chains(matches)}
-
-    def _chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Chains of matches in text order whose places in the template go on too; ``matches`` are (end, length, state)."""
-        first = len(self.labels)
-        open_: dict[int, tuple[int, int, int, int]] = {}
+            self._ended(len(coded), state, matched, None, runs)
+        return {"n_words": len(tokens), "places": sorted(places), "spans": self._spans(runs)}
+
+    def _ended(self, at: int, state: int, matched: int, token: int | None, runs: list[tuple[int, int, int, int]]) -> None:
+        """Adds the runs (template, end in it, end in the text, length) that do not go on with ``token``."""
+        seen = set()
+        while matched >= self.seed:
+            for number, end, following in self.onward[state]:
+                if following != token and (number, end) not in seen:
+                    seen.add((number, end))
+                    runs.append((number, end, at, matched))
+            state = self.automaton.link[state]
+            matched = self.automaton.length[state]
+
+    def _spans(self, runs: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
+        by_template: dict[int, list[tuple[int, int, int]]] = {}
+        for number, to, end, length in runs:
+            by_template.setdefault(number, []).append((end, to, length))
         spans = []
-
-        def close(number: int) -> None:
-            start, end, _, covered = open_.pop(number)
-            if covered >= self.cover * self.sizes[number - first]:
-                spans.append((self.templates[number - first], start, end, min(1.0, covered / self.sizes[number - first])))
-
-        for end, length, state in matches:
-            for number, to in self.automaton.ends[state].items():
-                if number < first:
-                    continue
-                start, begins = end - length, to - length
-                if number in open_:
-                    was_start, was_end, was_to, covered = open_[number]
-                    if start - was_end <= self.gap and to > was_to:
-                        fresh = min(length, to - max(begins, was_to), end - max(start, was_end))
-                        open_[number] = (was_start, end, to, covered + max(0, fresh))
-                        continue
-                    close(number)
-                open_[number] = (start, end, to, length)
-        for number in sorted(open_):
-            close(number)
+        for number, own in by_template.items():
+            size, taken = self.sizes[number], []
+            good = [c for c in chains(own, self.gaps[number]) if c[0] >= self.cover * size]
+            for covered, start, end in sorted(good, key=lambda c: (-c[0], c[2] - c[1], c[1])):
+                at = bisect_left(taken, (start, end))
+                if (at == len(taken) or taken[at][0] >= end) and (at == 0 or taken[at - 1][1] <= start):
+                    taken.insert(at, (start, end))
+                    spans.append((self.templates[number], start, end, covered / size))
         return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
 
 
+def chains(runs: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """For each run (end in the text, end in the template, length) the best chain that ends with it: covered tokens, first token, end token.
+
+    A run adds the tokens beyond the last run's ends in text and template; at most ``gap`` other tokens of text may lie before
+    them. Of chains that cover as much, the one that starts last.
+    """
+    runs = sorted(runs)
+    best: list[tuple[int, int]] = []
+    low = 0
+    longest = max((length for _, _, length in runs), default=0)
+    for end, to, length in runs:
+        while runs[low][0] < end - longest - gap:
+            low += 1
+        found = length, end - length
+        for i in range(low, len(best)):
+            was_end, was_to, _ = runs[i]
+            if was_end < end and was_to < to:
+                fresh = min(length, end - was_end, to - was_to)
+                if end - fresh - was_end <= gap:
+                    found = max(found, (best[i][0] + fresh, best[i][1]))
+        best.append(found)
+    return [(covered, start, end) for (covered, start), (end, _, _) in zip(best, runs, strict=True)]
+
+
 def scan(df: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None, text: str = "text") -> DataFrame:
     """``df`` with ``n_words``, ``places`` (start, label) and ``spans`` (template, start, end, coverage), in words from 0.
 

@@ -63,6 +63,83 @@ def test_template_spans():
         lic.Scanner({"!!": "x"}, {})
 
 
+def common_runs(text, template, seed):
+    """Runs (end in the text, end in the template, length) that go on to neither side."""
+    out = []
+    for i in range(len(text)):
+        for j in range(len(template)):
+            n = 0
+            while i + n < len(text) and j + n < len(template) and text[i + n] == template[j + n]:
+                n += 1
+            if n >= seed and (i == 0 or j == 0 or text[i - 1] != template[j - 1]):
+                out.append((i + n, j + n, n))
+    return out
+
+
+def every_chain(runs, gap):
+    """Best (covered, start) for the last run of a chain, over all chains."""
+    best = {}
+
+    def go(run, covered, start):
+        best[run] = max(best.get(run, (0, 0)), (covered, start))
+        for nxt in runs:
+            fresh = min(nxt[2], nxt[0] - run[0], nxt[1] - run[1])
+            if fresh > 0 and nxt[0] - fresh - run[0] <= gap:
+                go(nxt, covered + fresh, start)
+    for run in runs:
+        go(run, run[2], run[0] - run[2])
+    return best
+
+
+def plain_spans(text, templates, seed, cover, gap):
+    out = []
+    for name, template in templates.items():
+        size, taken = len(template), []
+        best = every_chain(common_runs(text, template, seed), max(gap, size // 2))
+        for covered, start, end in sorted(((c, s, r[0]) for r, (c, s) in best.items()), key=lambda x: (-x[0], x[2] - x[1], x[1])):
+            if covered >= cover * size and all(end <= a or b <= start for a, b in taken):
+                taken.append((start, end))
+                out.append((name, start, end, covered / size))
+    return sorted(out, key=lambda s: (s[1], s[2], s[0]))
+
+
+def test_spans_equal_brute_force():
+    rng = random.Random(6)
+    some = 0
+    for _ in range(400):
+        templates = {f"t{i}": [rng.choice("abcdef") for _ in range(rng.randrange(4, 14))] for i in range(3)}
+        text = []
+        for _ in range(rng.randrange(1, 5)):
+            own = list(rng.choice(list(templates.values())))
+            for _ in range(rng.randrange(3)):
+                at = rng.randrange(len(own) + 1)
+                own[at:at + rng.randrange(2)] = [rng.choice("abcdefxyz") for _ in range(rng.randrange(4))]
+            text += own
+        seed, cover, gap = rng.choice([1, 2, 3]), rng.choice([0.5, 0.8]), rng.choice([0, 2, 8])
+        if seed == 1:
+            text = text[:12]
+        want = plain_spans(text, templates, seed, cover, gap)
+        scanner = lic.Scanner({"a b": "x"}, {k: " ".join(v) for k, v in templates.items()}, seed, cover, gap)
+        assert scanner.scan(" ".join(text))["spans"] == want
+        some += len(want)
+    assert some > 300
+
+
+@pytest.mark.parametrize("name", ["mit-grant", "apache-notice", "gpl-notice", "bsd-grant"])
+def test_changed_notices_keep_their_label(name):
+    own = lic.words(lic.TEMPLATES[name])
+    half = len(own) // 2
+    for middle in ([f"clause{i}" for i in range(9)], own[:4], own[half - 6:half - 2]):
+        spans = lic.Scanner(lic.PHRASES, lic.TEMPLATES).scan(" ".join(own[:half] + middle + own[half:]))["spans"]
+        assert (name, 0, len(own) + len(middle)) in [s[:3] for s in spans]
+
+
+def test_long_text_of_notices():
+    scanner = lic.Scanner(lic.PHRASES, lic.TEMPLATES)
+    text = " ".join([lic.TEMPLATES["mit-grant"]] * 2000)
+    assert [s[0] for s in scanner.scan(text)["spans"]] == ["mit-grant"] * 2000
+
+
 def test_awkward_rows(spark):
     rows = awkward_docs() + [(900, "MIT License mit-license MIT\tLICENSE, Apache Général Public License GENERAL PUBLIC LICENSE", None, None, None)]
     docs = spark.createDataFrame(rows, DOC).withColumn("Spans", F.lit("clash"))
