@@ -42,7 +42,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
-    return packing.pack(packing.with_tokens(docs.select("doc_id", "text")).drop("text"), "tokens", "doc_id", packing.LENGTHS)
+    return packing.pack(packing.with_tokens(docs.select("doc_id", "text")).drop("text"), "tokens", "doc_id", packing.LENGTHS, packing.COSTS)
 
 
 STAGES = [

@@ -107,6 +107,9 @@ def pack(df: DataFrame, tokens: str, id: str, lengths: list[int], costs: list[fl
 
 #: Permitted sequence lengths of the registered query and the pipeline, in bytes.
 LENGTHS = [1024, 2048, 4096, 8192]
+#: Costs of a sequence of each length there: a fixed part, one that grows with the length, and attention, which grows with its square.
+#: A token is cheapest at 4,096 and dearest at 1,024.
+COSTS = [1024 + length + length * length / 16384 for length in LENGTHS]
 
 
 def with_tokens(docs: DataFrame) -> DataFrame:
@@ -117,4 +120,4 @@ def with_tokens(docs: DataFrame) -> DataFrame:
 def op10_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1 to 8 KB of byte-level tokens: where each piece of a text lies."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pack(with_tokens(docs).drop("text"), "tokens", "doc_id", LENGTHS)
+    return pack(with_tokens(docs).drop("text"), "tokens", "doc_id", LENGTHS, COSTS)

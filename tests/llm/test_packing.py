@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import pytest
@@ -37,6 +38,62 @@ def test_best_fit_by_hand():
     assert packing.best_fit([8, 4, 3], [4, 8], [4, 20]) == ([0, 1, 2], [0, 0, 0], [8, 4, 4])
 
 
+def plain_best_fit(sizes, lengths, costs):
+    """The rule, bin by bin: the fullest bin with room, else the size with the least cost per token that holds the piece."""
+    bins, placed = [], []
+    for size in sizes:
+        fits = [b for b, (length, used) in enumerate(bins) if length - used >= size]
+        if fits:
+            b = min(fits, key=lambda b: (bins[b][0] - bins[b][1], b))
+        else:
+            b = len(bins)
+            holds = [i for i, length in enumerate(lengths) if length >= size]
+            bins.append([lengths[min(holds, key=lambda i: (costs[i] / lengths[i], -lengths[i]))], 0])
+        placed.append((b, bins[b][1]))
+        bins[b][1] += size
+    cheapest = lambda used: min((costs[i], length) for i, length in enumerate(lengths) if length >= used)[1]
+    return [b for b, _ in placed], [at for _, at in placed], [cheapest(used) for _, used in bins]
+
+
+def least_cost(sizes, lengths, costs):
+    """The cheapest of all ways to share out the pieces."""
+    def share(rest, loads):
+        if not rest:
+            return sum(min(c for c, length in zip(costs, lengths, strict=True) if length >= used) for used in loads)
+        more = [loads[:i] + [used + rest[0]] + loads[i + 1:] for i, used in enumerate(loads) if used + rest[0] <= max(lengths)]
+        return min(share(rest[1:], x) for x in [*more, [*loads, rest[0]]])
+    return share(sizes, [])
+
+
+def test_best_fit_equals_the_plain_rule():
+    rng = random.Random(8)
+    for _ in range(300):
+        lengths = sorted(rng.sample(range(4, 40), 3))
+        costs = sorted(rng.uniform(1, 60) for _ in lengths)
+        sizes = sorted((rng.randint(1, lengths[-1]) for _ in range(rng.randrange(40))), reverse=True)
+        assert packing.best_fit(sizes, lengths, costs) == plain_best_fit(sizes, lengths, costs)
+
+
+def test_cost_against_all_ways():
+    rng = random.Random(9)
+    spent = best = longest = 0
+    for _ in range(150):
+        sizes = sorted((rng.randint(100, 5000) for _ in range(6)), reverse=True)
+        price = dict(zip(packing.LENGTHS, packing.COSTS, strict=True))
+        cost = sum(price[x] for x in packing.best_fit(sizes, packing.LENGTHS, packing.COSTS)[2])
+        least = least_cost(sizes, packing.LENGTHS, packing.COSTS)
+        assert least <= cost + 1e-9
+        spent, best = spent + cost, best + least
+        longest += sum(price[x] for x in packing.best_fit(sizes, packing.LENGTHS, packing.LENGTHS)[2])
+    assert spent < 1.1 * best and spent < longest
+
+
+def test_registered_costs_decide():
+    # a piece up to 4,096 opens a bin of 4,096 although 8,192 is permitted; a longer one opens 8,192
+    assert packing.best_fit([3000, 3000], packing.LENGTHS, packing.COSTS) == ([0, 1], [0, 0], [4096, 4096])
+    assert packing.best_fit([5000, 3000], packing.LENGTHS, packing.COSTS) == ([0, 0], [0, 5000], [8192])
+
+
 def test_awkward_rows(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP", 15)
     monkeypatch.setattr(packing, "COPIES", 4)
