@@ -1,3 +1,5 @@
+from zlib import crc32
+
 import numpy as np
 import pytest
 import sentencepiece
@@ -126,3 +128,47 @@ def test_drawn_places_equal_one_by_one(vocabulary, spark, dropout, monkeypatch):
     want = [i for c, d in drawn for i in encoder._segment(c, d)]
     assert np.frombuffer(b"".join(got), np.int32).tolist() == want
     assert [pb.decode(np.frombuffer(g, np.int32).tolist(), vocabulary) for g in got] == texts
+
+
+MASK = (1 << 64) - 1
+
+
+def plain_dropout(library, chunk, key, dropout):
+    """Pieces of a chunk by the rule alone: of all neighbours that form a piece and are not skipped, the best merges, the first on a tie."""
+    parts = [(c, i, i + 1) for i, c in enumerate(chunk.replace(" ", pb.SPACE))]
+    while True:
+        best = None
+        for i, ((a, start, middle), (b, _, end)) in enumerate(zip(parts, parts[1:])):
+            id = library.piece_to_id(a + b)
+            if library.id_to_piece(id) != a + b:
+                continue
+            x = key ^ (start << 42 | middle << 21 | end)
+            for _ in range(2):
+                x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & MASK
+            if x >> 32 >= int(dropout * 2**32) and (best is None or library.get_score(id) > best[0]):
+                best = library.get_score(id), i
+        if best is None:
+            break
+        i = best[1]
+        parts[i:i + 2] = [(parts[i][0] + parts[i + 1][0], parts[i][1], parts[i + 1][2])]
+    out = []
+    for piece, _, _ in parts:
+        id = library.piece_to_id(piece)
+        out += [id] if library.id_to_piece(id) == piece else [library.piece_to_id(f"<0x{b:02X}>") for b in piece.encode()]
+    return out
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5, 0.9])
+def test_dropout_equals_the_rule(vocabulary, library, spark, dropout):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(8).collect()]
+    texts += [t for t in TEXTS if pb.SPACE not in t and len(t) < 100 and t.isascii()]
+    encoder, seed = pb.Encoder(vocabulary, dropout, 23, 0), 23
+    for number, text in enumerate(texts):
+        want, draw = [], 0
+        for chunk in pb._CHUNK.findall(" " + text):
+            draw += 1
+            x = draw * 0x9E3779B97F4A7C15 + number & MASK
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & MASK
+            key = seed * 0x9E3779B97F4A7C15 + x * 0xC2B2AE3D27D4EB4F + crc32(chunk.encode()) * 0x165667B19E3779F9 & MASK
+            want += plain_dropout(library, chunk, key, dropout)
+        assert encoder.encode(text, number) == want
