@@ -10,10 +10,13 @@ fewer coordinates, so that a pair on it is missed with probability ``MISS`` at m
 
 Pairs are never listed by bucket. Each bucket first compares its members with one of them, the one that meets most
 others in all buckets, and links found are joined into components. Where that leaves several components in a bucket, the
-members outside its largest component (the strays) are compared with all its members in blocks: a task holds
+members outside its largest component (the strays) are compared with its members in blocks: a task holds
 about ``LEAD_BYTES`` of strays and ``BLOCK_BYTES`` of members, however many there are, counts common shingles through an index of its
-block, and returns one link for each component that a stray reaches. So every link between two components that a
-bucket can show is found, and rows stay linear in the members. Comparisons are exact, on the sets of whole texts.
+block, and returns one link for each component that a stray reaches. Blocks go by classes of set size, and a stray meets only its own
+class and the two beside it, since sets whose sizes are further apart cannot reach the threshold; members of classes that no stray
+reaches are not moved. So every link between two components that a bucket can show is found, and no pair is a row before it is a
+link. Within a class of a bucket, texts are sent once for each block of the other side: a bucket of many unlinked texts
+of like size costs their bytes times the number of such blocks. Comparisons are exact, on the sets of whole texts.
 """
 
 from __future__ import annotations
@@ -265,22 +268,26 @@ def near_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", k: int = 4
     # where several components remain in a bucket, strays meet all its members in blocks
     roots = stage.keep(components(links, stage), "roots1")
     placed = hits.join(roots, hits["rid"] == roots["node"], "left").select(
-        "bucket", "rid", F.coalesce("root", "rid").alias("root"))
+        "bucket", "rid", "n", F.coalesce("root", "rid").alias("root"))
     per_root = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
     main = per_root.groupBy("bucket").agg(
         F.max_by("root", F.struct("size", F.negative("root"))).alias("main"), F.count(F.lit(1)).alias("roots"),
         F.sum("size").alias("all")).where("roots > 1 AND all > 2").select("bucket", "main")
     mixed = stage.keep(placed.join(main, "bucket").join(
         texts.select("rid", F.octet_length("text").alias("bytes")), "rid").withColumn("stray", F.expr("root != main")), "mixed")
-    blocks = mixed.groupBy("bucket").agg(
-        F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("member_blocks"),
-        F.ceil(F.sum(F.when(F.col("stray"), F.col("bytes"))) / LEAD_BYTES).cast("int").alias("lead_blocks"))
-    dealt = mixed.join(blocks, "bucket").withColumns({
-        "m": F.pmod(F.xxhash64("rid"), "member_blocks").cast("int"), "s": F.pmod(F.xxhash64("rid", F.lit(1)), "lead_blocks").cast("int")})
+    # linked sets lie in one class of sizes or in two that follow each other; classes are a trifle wide, for the rounding of logarithms
+    sized = mixed.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / percent * 1.0001))).cast("int"))
+    leads = sized.where("stray").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+    blocks = sized.groupBy("bucket", "class").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("member_blocks")).join(
+        leads.groupBy("bucket", "class").agg(F.ceil(F.sum("bytes") / LEAD_BYTES).cast("int").alias("lead_blocks")), ["bucket", "class"])
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    as_member = dealt.select("bucket", "m", every("lead_blocks").alias("s"), "rid", "root", F.lit(False).alias("lead"))
-    as_lead = dealt.where("stray").select("bucket", every("member_blocks").alias("m"), "s", "rid", "root", F.lit(True).alias("lead"))
-    strays = stage.keep(as_member.union(as_lead).join(texts, "rid").groupBy("bucket", "m", "s").applyInArrow(
+    own = lambda n, salt: F.pmod(F.xxhash64("rid", F.lit(salt)), n).cast("int")
+    block = ["bucket", "class", "m", "s"]
+    as_member = sized.join(blocks, ["bucket", "class"]).withColumns({"m": own("member_blocks", 0), "s": every("lead_blocks")}).select(
+        *block, "rid", "root", F.lit(False).alias("lead"))
+    as_lead = leads.join(blocks, ["bucket", "class"]).withColumns({"m": every("member_blocks"), "s": own("lead_blocks", 1)}).select(
+        *block, "rid", "root", F.lit(True).alias("lead"))
+    strays = stage.keep(as_member.union(as_lead).join(texts, "rid").groupBy(*block).applyInArrow(
         _block(k, percent), "a long, b long"), "links2")
     roots = stage.keep(components(links.union(strays), stage), "roots2")
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -99,6 +100,23 @@ def test_bucket_whose_first_leader_is_apart(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == near_answers(rows)
 
 
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_strays_meet_members_of_other_sizes(spark, monkeypatch, percent):
+    """Chains of texts that grow step by step, in blocks of a few texts: links lead over size classes and blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(near_dedup, "LEAD_BYTES", 1000)
+    rng, rows = random.Random(percent), []
+    for chain in range(6):
+        n = 20 + chain * 3
+        for step in range(14):
+            rows.append((100 * chain + step, " ".join(f"c{chain}w{j}" for j in range(n))))
+            n = n * 100 // percent if rng.random() < 0.7 else n + 1
+            if n > 600:
+                break
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == near_answers(rows, percent=percent)
+
+
 def test_word_hashes_and_sets():
     texts = ["One two\tTHREE\x0bfour five".encode(), b"", "été one two".encode(), b"  ", b"one two three four", LONG.encode()]
     words, counts = near_dedup.word_hashes(texts)
